@@ -34,7 +34,7 @@ def tuning_report(spark, tuned):
     grid, scores = tuned.getEstimatorParamMaps(), tuned.avgMetrics
     best = min(scores)
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name)), float(s), s == best)
+        (", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name)), float(s), bool(s == best))
         for params, s in zip(grid, scores)
     ]
     return spark.createDataFrame(rows, "params string, rmse double, best boolean")
