@@ -8,37 +8,48 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import hot_keys, salted_join
+from kindred.operators.skew import ROWS_PER_SALT, hot_keys, join_tasks, wide_join
+from kindred.storage import materialize_observed
 
 
-def neighbour_rows(requests, ratings, lists, target, value="stars"):
+def neighbour_rows(requests, ratings, lists, target, value="stars", rows_per_salt=ROWS_PER_SALT):
     """Rows `(user_id, item_id, neighbour, similarity, value)` of distinct requests.
 
     A neighbour qualifies if it is in the target's similarity list and has a rating with
     the context. Each request takes the shorter way to that intersection: through the
     ratings of its context, or through the list of its target. So neither a context with
     very many ratings nor a target with very many neighbours multiplies with the number
-    of its requests unless both are large.
+    of its requests unless both are large. Keys that still produce much are salted.
     """
     context = other_id(target)
     list_size = lists.groupBy(F.col("target").alias(target)).agg(F.count(F.lit(1)).alias("by_target"))
     rated = ratings.select(F.col(target).alias("neighbour"), context, F.col(value).alias("value"))
     degree = rated.groupBy(context).agg(F.count(F.lit(1)).alias("by_context"))
-    routed = requests.select("user_id", "item_id").join(list_size, target).join(degree, context)
     lists = lists.withColumnRenamed("target", target)
+    through_context = F.col("by_context") <= F.col("by_target")
+    routed, seen = materialize_observed(
+        requests.select("user_id", "item_id").join(list_size, target).join(degree, context),
+        "routes",
+        context=F.coalesce(F.sum(F.when(through_context, F.col("by_context"))), F.lit(0)),
+        target=F.coalesce(F.sum(F.when(~through_context, F.col("by_target"))), F.lit(0)),
+    )
 
-    short_context = routed.where("by_context <= by_target").select("user_id", "item_id", "by_context")
-    through_context = salted_join(
-        short_context, rated, context, hot_keys(short_context, context, F.sum("by_context"))
-    ).join(lists, [target, "neighbour"])
-
-    short_list = routed.where("by_context > by_target").select("user_id", "item_id", "by_target")
-    through_list = salted_join(
-        short_list, lists, target, hot_keys(short_list, target, F.sum("by_target"))
-    ).join(rated, [context, "neighbour"])
+    def walk(chosen, side, key, cost, produced):
+        chosen = routed.where(chosen).select("user_id", "item_id", cost)
+        hot = hot_keys(chosen, key, F.sum(cost), rows_per_salt) if produced > rows_per_salt else None
+        return wide_join(chosen, side, key, join_tasks(routed.sparkSession, produced), hot)
 
     columns = ["user_id", "item_id", "neighbour", "similarity", "value"]
-    return through_context.select(*columns).unionByName(through_list.select(*columns))
+    by_context = by_target = None
+    if seen["context"] or not seen["target"]:
+        by_context = walk(through_context, rated, context, "by_context", seen["context"])
+        by_context = by_context.join(lists, [target, "neighbour"]).select(*columns)
+    if seen["target"]:
+        by_target = walk(~through_context, lists, target, "by_target", seen["target"])
+        by_target = by_target.join(rated, [context, "neighbour"]).select(*columns)
+    if by_context is None or by_target is None:
+        return by_context if by_target is None else by_target
+    return by_context.unionByName(by_target)
 
 
 def top_k_neighbours(rows, k):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import pearson_from_sums
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
+from kindred.operators.skew import ROWS_PER_SALT, self_join, square_fanout
 from kindred.storage import materialize
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
@@ -128,7 +128,7 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
     other = other_id(by)
     facts = materialize(_eligible_facts(ratings, by, other, min_support, targets), "pair-facts")
     light, hot_facts = facts, None
-    if min_support > 1:
+    if min_support > 1 and square_fanout(facts, "o")[2] > hot_degree:
         hottest = F.broadcast(  # at most min_support - 1 rows
             facts.groupBy("o")
             .agg(F.count(F.lit(1)).alias("n"))
@@ -139,12 +139,12 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
         )
         light = facts.join(hottest, "o", "left_anti")
         hot_facts = facts.join(hottest, "o", "left_semi")
-    squared = F.count(F.lit(1)) * F.count(F.lit(1))
-    joined = salted_join(
-        light.select("o", F.col("e").alias("a"), F.col("r").alias("x"), F.col("t").alias("ta")),
-        light.select("o", F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb")),
+    joined = self_join(
+        light,
         "o",
-        hot_keys(light, "o", squared, rows_per_salt),
+        (F.col("e").alias("a"), F.col("r").alias("x"), F.col("t").alias("ta")),
+        (F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb")),
+        rows_per_salt,
     ).where((F.col("a") < F.col("b")) & (F.col("ta") | F.col("tb")))
     sums = joined.groupBy("a", "b", "ta", "tb").agg(
         F.count(F.lit(1)).alias("n"),

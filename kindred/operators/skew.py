@@ -1,22 +1,45 @@
 """Joins in which a few keys may hold most of the rows."""
 
+import math
+
 from pyspark.sql import functions as F
 
-# Joined rows one task should produce for a single key.
+# Joined rows one task should produce.
+ROWS_PER_TASK = 2_000_000
+# Joined rows above which a single key is split over several tasks.
 ROWS_PER_SALT = 10_000_000
 # Most keys that are split. The list is broadcast, so this bounds its size, and every
 # key left out of it holds less than 1/MAX_HOT_KEYS of the weight.
 MAX_HOT_KEYS = 10_000
+# Most tasks of one join, whatever it produces.
+MAX_TASKS = 200_000
+
+
+def as_list(on):
+    return [on] if isinstance(on, str) else list(on)
+
+
+def join_tasks(spark, rows):
+    """Tasks for a join that produces `rows` rows."""
+    return max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, math.ceil(rows / ROWS_PER_TASK)))
+
+
+def square_fanout(df, on):
+    """What a self-join on `on` produces: `(all rows, rows of the largest key, its size)`."""
+    sizes = df.groupBy(*as_list(on)).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    total, top = sizes.agg(F.sum(F.col("n") * F.col("n")), F.max("n")).first()
+    return total or 0.0, (top or 0.0) ** 2, int(top or 0)
 
 
 def hot_keys(df, on, weight=None, rows_per_salt=ROWS_PER_SALT):
     """Keys of `df` whose weight exceeds `rows_per_salt`, with the number of salts each needs.
 
     `weight` is an aggregate column standing for the rows a key produces in the join;
-    the default is its row count.
+    the default is the square of its row count, as in a self-join.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    weighed = df.groupBy(*keys).agg((weight if weight is not None else F.count(F.lit(1))).alias("_weight"))
+    keys = as_list(on)
+    count = F.count(F.lit(1)).cast("double")
+    weighed = df.groupBy(*keys).agg((count * count if weight is None else weight).alias("_weight"))
     return (
         weighed.where(F.col("_weight") > rows_per_salt)
         .orderBy(F.desc("_weight"), *keys)
@@ -25,15 +48,20 @@ def hot_keys(df, on, weight=None, rows_per_salt=ROWS_PER_SALT):
     )
 
 
-def salted_join(left, right, on, hot, how="inner"):
-    """Equi-join that spreads each key listed in `hot` over several tasks.
+def wide_join(left, right, on, tasks, hot=None):
+    """Inner equi-join that produces many more rows than it reads.
+
+    Such joins are sized by their output: both sides go to `tasks` partitions, a number
+    that adaptive execution, which only sees the small input, would reduce.
 
-    Left rows of a hot key go to one salt each, picked from the row's own content so that
-    a retried task picks the same one. Right rows of that key are copied to every salt.
-    All other keys are joined as they are; no row is lost or repeated.
+    `hot` (from `hot_keys`) lists keys too large for one task. Left rows of such a key go
+    to one salt each, picked from the row's own content so that a retried task picks the
+    same one; its right rows are copied to every salt. No row is lost or repeated.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot)
+    keys = as_list(on)
+    if hot is None:
+        return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
+    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
     rest = [F.col(c) for c in left.columns if c not in keys] or [F.lit(0)]
     salted = (
         left.join(hot, keys, "left")
@@ -45,4 +73,15 @@ def salted_join(left, right, on, hot, how="inner"):
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+    spread = [*keys, "_salt"]
+    return salted.repartition(tasks, *spread).join(copied.repartition(tasks, *spread), spread).drop("_salt")
+
+
+def self_join(df, on, left, right, rows_per_salt=ROWS_PER_SALT):
+    """Join `df` with itself on `on`: `left` and `right` are its columns on either side."""
+    total, largest, _ = square_fanout(df, on)
+    hot = hot_keys(df, on, rows_per_salt=rows_per_salt) if largest > rows_per_salt else None
+    keys = as_list(on)
+    return wide_join(
+        df.select(*keys, *left), df.select(*keys, *right), keys, join_tasks(df.sparkSession, total), hot
+    )

@@ -3,6 +3,8 @@
 import tempfile
 import uuid
 
+from pyspark.sql import Observation
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -29,3 +31,10 @@ def materialize(df, label):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_observed(df, label, **metrics):
+    """`materialize`, plus a dict of aggregates taken while the rows are written."""
+    watch = Observation()
+    table = materialize(df.observe(watch, *[column.alias(name) for name, column in metrics.items()]), label)
+    return table, watch.get
