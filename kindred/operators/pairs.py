@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from kindred.functions import pearson_from_sums
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, self_join, square_fanout
-from kindred.storage import materialize
+from kindred.operators.skew import ROWS_PER_SALT, hot_keys, join_tasks, self_join, square_fanout, wide_join
+from kindred.storage import materialize, materialize_observed
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
 HOT_DEGREE = 10_000
@@ -21,26 +21,42 @@ def canonical_pairs(pairs, first, second):
     return pairs.select(low.alias(first), high.alias(second), *rest)
 
 
-def shared_members(pairs, facts, keep_empty=False):
-    """Rows `(a, b, o, x, y)` for each `o` that both sides of a demanded pair hold.
+def shared_members(pairs, facts, keep=None, keep_empty=False, rows_per_salt=ROWS_PER_SALT):
+    """Rows `(a, b, n_a, n_b, o, x, y)` for each `o` that both sides of a demanded pair hold.
 
     `pairs` has columns `a, b`; `facts` has `e, o, r`, unique on `(e, o)`. Each pair reads
     the members of its smaller side and looks them up in the larger one, so a side with
-    very many members is walked only by sides of its own size. With `keep_empty` the
-    members missing on the other side stay, with NULL in the value of that side.
+    very many members is walked only by sides of its own size. `keep` drops pairs by the
+    sizes `n_a`, `n_b` before that. With `keep_empty` the members missing on the other
+    side stay, with NULL in the value of that side.
     """
     sizes = facts.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
     sized = pairs.join(sizes.select(F.col("e").alias("a"), F.col("n").alias("n_a")), "a").join(
         sizes.select(F.col("e").alias("b"), F.col("n").alias("n_b")), "b"
     )
+    if keep is not None:
+        sized = sized.where(keep)
     swap = F.col("n_a") > F.col("n_b")
-    probes = sized.select(
-        "a", "b", "n_a", "n_b",
-        swap.alias("swap"),
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("small"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("large"),
+    probes, seen = materialize_observed(
+        sized.select(
+            "a", "b", "n_a", "n_b",
+            swap.alias("swap"),
+            F.when(swap, F.col("b")).otherwise(F.col("a")).alias("small"),
+            F.when(swap, F.col("a")).otherwise(F.col("b")).alias("large"),
+        ),
+        "probes",
+        rows=F.coalesce(F.sum(F.least("n_a", "n_b")), F.lit(0)),
+    )
+    hot = None
+    if seen["rows"] > rows_per_salt:
+        hot = hot_keys(probes, "small", F.sum(F.least("n_a", "n_b")), rows_per_salt)
+    walked = wide_join(
+        probes,
+        facts.select(F.col("e").alias("small"), "o", F.col("r").alias("rs")),
+        "small",
+        join_tasks(facts.sparkSession, seen["rows"]),
+        hot,
     )
-    walked = probes.join(facts.select(F.col("e").alias("small"), "o", F.col("r").alias("rs")), "small")
     found = walked.join(
         facts.select(F.col("e").alias("large"), "o", F.col("r").alias("rl")),
         ["large", "o"],

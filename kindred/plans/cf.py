@@ -28,10 +28,10 @@ def stage_ratings(ratings):
 
 
 def _with_means(ratings, requests):
-    """Requests with the means of their ids; NULL marks an unknown id."""
+    """Requests with the means of their ids, written once; NULL marks an unknown id."""
     users = user_means(ratings).select("user_id", "user_mean")
     items = item_means(ratings).select("item_id", "item_mean")
-    return requests.join(users, "user_id", "left").join(items, "item_id", "left")
+    return materialize(requests.join(users, "user_id", "left").join(items, "item_id", "left"), "requests")
 
 
 def similar_neighbours(
