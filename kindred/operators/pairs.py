@@ -11,7 +11,7 @@ from kindred.operators.skew import ROWS_PER_SALT, hot_keys, join_tasks, self_joi
 from kindred.storage import materialize, materialize_observed
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
-HOT_DEGREE = 10_000
+HOT_DEGREE = 3_000
 
 
 def canonical_pairs(pairs, first, second):
@@ -143,8 +143,8 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
     """
     other = other_id(by)
     facts = materialize(_eligible_facts(ratings, by, other, min_support, targets), "pair-facts")
-    light, hot_facts = facts, None
-    if min_support > 1 and square_fanout(facts, "o")[2] > hot_degree:
+    light, hot_facts, fanout = facts, None, square_fanout(facts, "o")
+    if min_support > 1 and fanout[2] > hot_degree:
         hottest = F.broadcast(  # at most min_support - 1 rows
             facts.groupBy("o")
             .agg(F.count(F.lit(1)).alias("n"))
@@ -155,12 +155,14 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
         )
         light = facts.join(hottest, "o", "left_anti")
         hot_facts = facts.join(hottest, "o", "left_semi")
+        fanout = None
     joined = self_join(
         light,
         "o",
         (F.col("e").alias("a"), F.col("r").alias("x"), F.col("t").alias("ta")),
         (F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb")),
         rows_per_salt,
+        fanout,
     ).where((F.col("a") < F.col("b")) & (F.col("ta") | F.col("tb")))
     sums = joined.groupBy("a", "b", "ta", "tb").agg(
         F.count(F.lit(1)).alias("n"),

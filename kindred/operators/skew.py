@@ -11,8 +11,9 @@ ROWS_PER_SALT = 10_000_000
 # Most keys that are split. The list is broadcast, so this bounds its size, and every
 # key left out of it holds less than 1/MAX_HOT_KEYS of the weight.
 MAX_HOT_KEYS = 10_000
-# Most tasks of one join, whatever it produces.
+# Most tasks of one join, and most lines or columns a key is split into, whatever it produces.
 MAX_TASKS = 200_000
+MAX_SIDE = 2_000
 
 
 def as_list(on):
@@ -32,19 +33,36 @@ def square_fanout(df, on):
 
 
 def hot_keys(df, on, weight=None, rows_per_salt=ROWS_PER_SALT):
-    """Keys of `df` whose weight exceeds `rows_per_salt`, with the number of salts each needs.
+    """Keys of `df` whose weight exceeds `rows_per_salt`, with `_side`, the side of their grid.
 
     `weight` is an aggregate column standing for the rows a key produces in the join;
-    the default is the square of its row count, as in a self-join.
+    the default is the square of its row count, as in a self-join. A grid of `_side` times
+    `_side` parts brings each part down to about `rows_per_salt`.
     """
     keys = as_list(on)
     count = F.count(F.lit(1)).cast("double")
     weighed = df.groupBy(*keys).agg((count * count if weight is None else weight).alias("_weight"))
+    side = F.ceil(F.sqrt(F.col("_weight") / rows_per_salt))
     return (
         weighed.where(F.col("_weight") > rows_per_salt)
         .orderBy(F.desc("_weight"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_weight") / rows_per_salt).cast("int").alias("_salts"))
+        .select(*keys, F.least(side, F.lit(MAX_SIDE)).cast("int").alias("_side"))
+    )
+
+
+def _on_grid(df, keys, hot, own, other):
+    """Place rows on the grid of their key: one position along `own`, every one along `other`.
+
+    The position comes from the row's own content, so a retried task finds the same one.
+    """
+    rest = [F.col(c) for c in df.columns if c not in keys] or [F.lit(0)]
+    side = F.coalesce("_side", F.lit(1))
+    return (
+        df.join(hot, keys, "left")
+        .withColumn(own, F.pmod(F.xxhash64(*rest), side).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), side - 1)))
+        .drop("_side")
     )
 
 
@@ -54,32 +72,26 @@ def wide_join(left, right, on, tasks, hot=None):
     Such joins are sized by their output: both sides go to `tasks` partitions, a number
     that adaptive execution, which only sees the small input, would reduce.
 
-    `hot` (from `hot_keys`) lists keys too large for one task. Left rows of such a key go
-    to one salt each, picked from the row's own content so that a retried task picks the
-    same one; its right rows are copied to every salt. No row is lost or repeated.
+    `hot` (from `hot_keys`) lists keys too large for one task. Their rows are laid out on
+    a grid, left rows by line and right rows by column, so that each pair of rows meets in
+    exactly one cell. No row is lost or repeated.
     """
     keys = as_list(on)
     if hot is None:
         return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
     hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
-    rest = [F.col(c) for c in left.columns if c not in keys] or [F.lit(0)]
-    salted = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*rest), F.coalesce("_salts", F.lit(1))).cast("int"))
-        .drop("_salts")
-    )
-    copied = (
-        right.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        .drop("_salts")
-    )
-    spread = [*keys, "_salt"]
-    return salted.repartition(tasks, *spread).join(copied.repartition(tasks, *spread), spread).drop("_salt")
+    cell = [*keys, "_line", "_column"]
+    lines = _on_grid(left, keys, hot, "_line", "_column").repartition(tasks, *cell)
+    columns = _on_grid(right, keys, hot, "_column", "_line").repartition(tasks, *cell)
+    return lines.join(columns, cell).drop("_line", "_column")
 
 
-def self_join(df, on, left, right, rows_per_salt=ROWS_PER_SALT):
-    """Join `df` with itself on `on`: `left` and `right` are its columns on either side."""
-    total, largest, _ = square_fanout(df, on)
+def self_join(df, on, left, right, rows_per_salt=ROWS_PER_SALT, fanout=None):
+    """Join `df` with itself on `on`: `left` and `right` are its columns on either side.
+
+    `fanout` is the result of `square_fanout` where it is known already.
+    """
+    total, largest, _ = fanout or square_fanout(df, on)
     hot = hot_keys(df, on, rows_per_salt=rows_per_salt) if largest > rows_per_salt else None
     keys = as_list(on)
     return wide_join(
