@@ -4,11 +4,13 @@ For item-based prediction the target is the item and the context the user; for
 user-based prediction it is the other way round.
 """
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, hot_keys, join_tasks, wide_join
+from kindred.operators.skew import ROWS_PER_SALT, wide_join
 from kindred.storage import materialize_observed
 
 
@@ -30,26 +32,17 @@ def neighbour_rows(requests, ratings, lists, target, value="stars", rows_per_sal
     routed, seen = materialize_observed(
         requests.select("user_id", "item_id").join(list_size, target).join(degree, context),
         "routes",
-        context=F.coalesce(F.sum(F.when(through_context, F.col("by_context"))), F.lit(0)),
-        target=F.coalesce(F.sum(F.when(~through_context, F.col("by_target"))), F.lit(0)),
+        context=F.count_if(through_context),
+        target=F.count_if(~through_context),
     )
-
-    def walk(chosen, side, key, cost, produced):
-        chosen = routed.where(chosen).select("user_id", "item_id", cost)
-        hot = hot_keys(chosen, key, F.sum(cost), rows_per_salt) if produced > rows_per_salt else None
-        return wide_join(chosen, side, key, join_tasks(routed.sparkSession, produced), hot)
-
-    columns = ["user_id", "item_id", "neighbour", "similarity", "value"]
-    by_context = by_target = None
+    keys, found = ["user_id", "item_id"], []
     if seen["context"] or not seen["target"]:
-        by_context = walk(through_context, rated, context, "by_context", seen["context"])
-        by_context = by_context.join(lists, [target, "neighbour"]).select(*columns)
+        walked = wide_join(routed.where(through_context).select(*keys), rated, context, rows_per_salt)
+        found.append(walked.join(lists, [target, "neighbour"]))
     if seen["target"]:
-        by_target = walk(~through_context, lists, target, "by_target", seen["target"])
-        by_target = by_target.join(rated, [context, "neighbour"]).select(*columns)
-    if by_context is None or by_target is None:
-        return by_context if by_target is None else by_target
-    return by_context.unionByName(by_target)
+        walked = wide_join(routed.where(~through_context).select(*keys), lists, target, rows_per_salt)
+        found.append(walked.join(rated, [context, "neighbour"]))
+    return reduce(DataFrame.unionByName, [df.select(*keys, "neighbour", "similarity", "value") for df in found])
 
 
 def top_k_neighbours(rows, k):

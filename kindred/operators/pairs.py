@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from kindred.functions import pearson_from_sums
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, hot_keys, join_tasks, self_join, square_fanout, wide_join
-from kindred.storage import materialize, materialize_observed
+from kindred.operators.skew import ROWS_PER_SALT, self_join, wide_join
+from kindred.storage import materialize
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
 HOT_DEGREE = 3_000
@@ -37,7 +37,7 @@ def shared_members(pairs, facts, keep=None, keep_empty=False, rows_per_salt=ROWS
     if keep is not None:
         sized = sized.where(keep)
     swap = F.col("n_a") > F.col("n_b")
-    probes, seen = materialize_observed(
+    probes = materialize(
         sized.select(
             "a", "b", "n_a", "n_b",
             swap.alias("swap"),
@@ -45,18 +45,9 @@ def shared_members(pairs, facts, keep=None, keep_empty=False, rows_per_salt=ROWS
             F.when(swap, F.col("a")).otherwise(F.col("b")).alias("large"),
         ),
         "probes",
-        rows=F.coalesce(F.sum(F.least("n_a", "n_b")), F.lit(0)),
-    )
-    hot = None
-    if seen["rows"] > rows_per_salt:
-        hot = hot_keys(probes, "small", F.sum(F.least("n_a", "n_b")), rows_per_salt)
-    walked = wide_join(
-        probes,
-        facts.select(F.col("e").alias("small"), "o", F.col("r").alias("rs")),
-        "small",
-        join_tasks(facts.sparkSession, seen["rows"]),
-        hot,
     )
+    members = facts.select(F.col("e").alias("small"), "o", F.col("r").alias("rs"))
+    walked = wide_join(probes, members, "small", rows_per_salt)
     found = walked.join(
         facts.select(F.col("e").alias("large"), "o", F.col("r").alias("rl")),
         ["large", "o"],
@@ -143,26 +134,25 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
     """
     other = other_id(by)
     facts = materialize(_eligible_facts(ratings, by, other, min_support, targets), "pair-facts")
-    light, hot_facts, fanout = facts, None, square_fanout(facts, "o")
-    if min_support > 1 and fanout[2] > hot_degree:
-        hottest = F.broadcast(  # at most min_support - 1 rows
-            facts.groupBy("o")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > hot_degree)
-            .orderBy(F.desc("n"), "o")
-            .limit(min_support - 1)
-            .select("o")
-        )
+    light, hot_facts = facts, None
+    hottest = (
+        facts.groupBy("o")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > hot_degree)
+        .orderBy(F.desc("n"), "o")
+        .limit(min_support - 1)
+        .select("o")
+    )
+    if min_support > 1 and not hottest.isEmpty():
+        hottest = F.broadcast(hottest)  # at most min_support - 1 rows
         light = facts.join(hottest, "o", "left_anti")
         hot_facts = facts.join(hottest, "o", "left_semi")
-        fanout = None
     joined = self_join(
         light,
         "o",
         (F.col("e").alias("a"), F.col("r").alias("x"), F.col("t").alias("ta")),
         (F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb")),
         rows_per_salt,
-        fanout,
     ).where((F.col("a") < F.col("b")) & (F.col("ta") | F.col("tb")))
     sums = joined.groupBy("a", "b", "ta", "tb").agg(
         F.count(F.lit(1)).alias("n"),

@@ -25,26 +25,38 @@ def join_tasks(spark, rows):
     return max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, math.ceil(rows / ROWS_PER_TASK)))
 
 
-def square_fanout(df, on):
-    """What a self-join on `on` produces: `(all rows, rows of the largest key, its size)`."""
-    sizes = df.groupBy(*as_list(on)).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    total, top = sizes.agg(F.sum(F.col("n") * F.col("n")), F.max("n")).first()
-    return total or 0.0, (top or 0.0) ** 2, int(top or 0)
+def self_weights(df, on):
+    """Per key, the rows a self-join produces: the square of its size."""
+    count = F.count(F.lit(1)).cast("double")
+    return df.groupBy(*as_list(on)).agg((count * count).alias("_weight"))
 
 
-def hot_keys(df, on, weight=None, rows_per_salt=ROWS_PER_SALT):
-    """Keys of `df` whose weight exceeds `rows_per_salt`, with `_side`, the side of their grid.
+def join_weights(left, right, on):
+    """Per key, the rows a join reads and produces.
 
-    `weight` is an aggregate column standing for the rows a key produces in the join;
-    the default is the square of its row count, as in a self-join. A grid of `_side` times
-    `_side` parts brings each part down to about `rows_per_salt`.
+    A key that only one side holds counts as well, since its rows travel all the same.
     """
     keys = as_list(on)
     count = F.count(F.lit(1)).cast("double")
-    weighed = df.groupBy(*keys).agg((count * count if weight is None else weight).alias("_weight"))
+    sizes = left.groupBy(*keys).agg(count.alias("_l")).join(right.groupBy(*keys).agg(count.alias("_r")), keys, "full")
+    n_left, n_right = F.coalesce("_l", F.lit(0.0)), F.coalesce("_r", F.lit(0.0))
+    return sizes.select(*keys, (n_left * n_right + n_left + n_right).alias("_weight"))
+
+
+def total_and_top(weights):
+    total, top = weights.agg(F.sum("_weight"), F.max("_weight")).first()
+    return total or 0.0, top or 0.0
+
+
+def hot_keys(weights, on, rows_per_salt=ROWS_PER_SALT):
+    """Keys whose weight exceeds `rows_per_salt`, with `_side`, the side of their grid.
+
+    A grid of `_side` times `_side` parts brings each part down to about `rows_per_salt`.
+    """
+    keys = as_list(on)
     side = F.ceil(F.sqrt(F.col("_weight") / rows_per_salt))
     return (
-        weighed.where(F.col("_weight") > rows_per_salt)
+        weights.where(F.col("_weight") > rows_per_salt)
         .orderBy(F.desc("_weight"), *keys)
         .limit(MAX_HOT_KEYS)
         .select(*keys, F.least(side, F.lit(MAX_SIDE)).cast("int").alias("_side"))
@@ -66,34 +78,31 @@ def _on_grid(df, keys, hot, own, other):
     )
 
 
-def wide_join(left, right, on, tasks, hot=None):
+def wide_join(left, right, on, rows_per_salt=ROWS_PER_SALT, weights=None):
     """Inner equi-join that produces many more rows than it reads.
 
-    Such joins are sized by their output: both sides go to `tasks` partitions, a number
-    that adaptive execution, which only sees the small input, would reduce.
+    Such joins are sized by their output: both sides go to a number of partitions that
+    follows from the weights, while adaptive execution, which only sees the small input,
+    would choose too few. `weights` defaults to `join_weights`, measured by one job.
 
-    `hot` (from `hot_keys`) lists keys too large for one task. Their rows are laid out on
-    a grid, left rows by line and right rows by column, so that each pair of rows meets in
-    exactly one cell. No row is lost or repeated.
+    Rows of keys too large for one task are laid out on a grid, left rows by line and
+    right rows by column, so that each pair of rows meets in exactly one cell. No row is
+    lost or repeated.
     """
     keys = as_list(on)
-    if hot is None:
+    weights = join_weights(left, right, keys) if weights is None else weights
+    total, top = total_and_top(weights)
+    tasks = join_tasks(left.sparkSession, total)
+    if top <= rows_per_salt:
         return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
-    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows
+    hot = F.broadcast(hot_keys(weights, keys, rows_per_salt))  # at most MAX_HOT_KEYS rows
     cell = [*keys, "_line", "_column"]
     lines = _on_grid(left, keys, hot, "_line", "_column").repartition(tasks, *cell)
     columns = _on_grid(right, keys, hot, "_column", "_line").repartition(tasks, *cell)
     return lines.join(columns, cell).drop("_line", "_column")
 
 
-def self_join(df, on, left, right, rows_per_salt=ROWS_PER_SALT, fanout=None):
-    """Join `df` with itself on `on`: `left` and `right` are its columns on either side.
-
-    `fanout` is the result of `square_fanout` where it is known already.
-    """
-    total, largest, _ = fanout or square_fanout(df, on)
-    hot = hot_keys(df, on, rows_per_salt=rows_per_salt) if largest > rows_per_salt else None
+def self_join(df, on, left, right, rows_per_salt=ROWS_PER_SALT):
+    """Join `df` with itself on `on`: `left` and `right` are its columns on either side."""
     keys = as_list(on)
-    return wide_join(
-        df.select(*keys, *left), df.select(*keys, *right), keys, join_tasks(df.sparkSession, total), hot
-    )
+    return wide_join(df.select(*keys, *left), df.select(*keys, *right), keys, rows_per_salt, self_weights(df, keys))
