@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.words import Words, text_pieces
+from kindred.storage import materialize
 
 # Hash buckets a sample is cut from.
 GRAIN = 1 << 30
@@ -19,32 +20,36 @@ def remainder(column, n):
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(n))
 
 
-def bounded_sample(rows, label, limit_chars):
-    """Whole rows `(label, doc_id, text)` of about `limit_chars` characters for each label.
+def bounded_sample(texts, labelled, limit_chars):
+    """Whole rows `(label, doc_id, text)` of about `limit_chars` characters for each label, written.
 
-    The rows with the smallest hashes of their ids are taken: each label's share of the
-    hash range follows from its total length, and the row with the smallest hash of all
-    is always in. Nothing but one row for each label reaches the driver's plan, and no
-    label is sorted or gathered as a whole.
+    `texts`: `(doc_id, text)`; `labelled`: `(doc_id, label)`, one row an id. The rows with
+    the smallest hashes of their ids are taken: each label's share of the hash range
+    follows from its total length, and the row with the smallest hash of all is always in.
+    Only ids and lengths are shuffled for that; no label is sorted or gathered as a whole.
+    A row counts as its characters and one more, so the ids that are broadcast to fetch
+    the texts are at most about `limit_chars` for each label as well.
     """
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(GRAIN))
-    rows = rows.withColumn("_draw", draw)
-    share = rows.groupBy(label).agg(
-        F.greatest(F.min("_draw"), F.floor(F.lit(float(GRAIN)) * limit_chars / F.sum(F.length("text") + 1)).cast("long")).alias("_most")
+    sizes = texts.where("text is not null").select("doc_id", F.length("text").alias("_size"))
+    rows = sizes.join(labelled, "doc_id").withColumn("_draw", F.pmod(F.xxhash64("doc_id"), F.lit(GRAIN)))
+    share = rows.groupBy("label").agg(
+        F.greatest(F.min("_draw"), F.floor(F.lit(float(GRAIN)) * limit_chars / F.sum(F.col("_size") + 1)).cast("long")).alias("_most")
     )
-    return rows.join(share, label).where("_draw <= _most").drop("_draw", "_most")
+    chosen = rows.join(share, "label").where("_draw <= _most").select("doc_id", "label").distinct()
+    chosen = materialize(chosen, "sample-ids")
+    return materialize(texts.join(F.broadcast(chosen), "doc_id").where("text is not null"), "sample")
 
 
-def word_counts(sample, label, lower=True):
+def word_counts(sample, lower=True):
     """Rows `(label, word, n)`: in how many different texts of the sample each word occurs.
 
     Copies of a text count once, and so do repeats within a text, so that a text that is
     copied often does not teach its own rare words.
     """
-    texts = sample.select(label, "text").where(F.col("text").isNotNull()).distinct()
+    texts = sample.select("label", "text").distinct()
     text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz") if lower else F.col("text")
-    words = texts.select(label, F.explode(F.array_distinct(F.split(text, "[ \\t-\\r]+"))).alias("word"))
-    return words.where("word <> ''").groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
+    words = texts.select("label", F.explode(F.array_distinct(F.split(text, "[ \\t-\\r]+"))).alias("word"))
+    return words.where("word <> ''").groupBy("label", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 class ChainSums:

@@ -78,15 +78,15 @@ class LanguageModels:
 
 
 def fit(docs, sample_chars=SAMPLE_CHARS):
-    """Models of the languages in `docs` `(doc_id, text, lang)`; rows without either are left out.
+    """Models of the languages in `docs` `(doc_id, text, lang)`; rows without a text or language are left out.
 
-    About `sample_chars` characters of whole texts for each language are counted; only
+    An id with several languages counts for the first of them in the alphabet. About `sample_chars` characters of whole texts for each language are counted; only
     these reach the driver.
     """
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), docs["lang"].alias("_lang"))
-    sample = bounded_sample(rows.where("text is not null and _lang is not null"), "_lang", sample_chars)
+    labelled = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].alias("label")).where("label is not null")
+    labelled = labelled.groupBy("doc_id").agg(F.min("label").alias("label"))
     counts = {}
-    for lang, word, n in word_counts(sample, "_lang").toLocalIterator(prefetchPartitions=True):
+    for lang, word, n in word_counts(bounded_sample(narrowed(docs), labelled, sample_chars)).toLocalIterator(prefetchPartitions=True):
         counts.setdefault(lang, {})[word.encode()] = n
     return LanguageModels(counts)
 

@@ -157,17 +157,15 @@ def fit(docs, labelled, sample_chars=SAMPLE_CHARS):
     together; the rest sets the weights. The sample, at most about `sample_chars` for
     each class, is all that reaches the driver.
     """
-    labelled = labelled.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    rows = narrowed(docs).where("text is not null").join(labelled, "doc_id")
-    sample = bounded_sample(rows, "_toxic", sample_chars)
+    labelled = labelled.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    sample = bounded_sample(narrowed(docs), labelled, sample_chars)
     sample = sample.withColumn("_part", F.pmod(F.xxhash64("text"), F.lit(3)))
     counts = {}
-    counted = word_counts(sample.where("_part > 0"), "_toxic").where("n > 0")
-    for toxic, word, n in counted.toLocalIterator(prefetchPartitions=True):
+    for toxic, word, n in word_counts(sample.where("_part > 0")).toLocalIterator(prefetchPartitions=True):
         pair = counts.setdefault(word.encode(), [0, 0])
         pair[0 if toxic == 1 else 1] += n
-    held = sample.where("_part = 0").select("_toxic", "text").distinct().toArrow()
-    labels = np.array(held["_toxic"].to_pylist(), dtype=float)
+    held = sample.where("_part = 0").select("label", "text").distinct().toArrow()
+    labels = np.array(held["label"].to_pylist(), dtype=float)
     models = ClassModels(counts)
     if len(set(labels.tolist())) < 2:
         # Too few rows to set weights by: the strongest expression decides, at a ratio of e to the 4th.
