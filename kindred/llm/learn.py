@@ -10,9 +10,9 @@ from kindred.storage import materialize
 # Hash buckets a sample is cut from.
 GRAIN = 1 << 30
 # Most word scores a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 400_000
 # Most values of single grams a worker keeps.
-KEPT_GRAMS = 1_000_000
+KEPT_GRAMS = 400_000
 
 
 def remainder(column, n):

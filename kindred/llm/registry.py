@@ -3,6 +3,9 @@
 import os
 import pathlib
 
+import public_tokenizers
+
+from kindred.llm.bytebpe import digests, read_ranks, round_trip, tokenizer_from_ranks
 from kindred.llm.ppm import language_id
 from kindred.llm.toxicity import toxicity
 
@@ -18,6 +21,11 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_byte_bpe(spark, folder):
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return digests(round_trip(table(spark, folder, "documents"), tokenizer_from_ranks(ranks, public_tokenizers.PATTERN)))
+
+
 def op8_language_id(spark, folder):
     return language_id(table(spark, folder, "documents"))
 
@@ -27,6 +35,7 @@ def op10_toxicity(spark, folder):
 
 
 QUERIES = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op8_language_id": op8_language_id,
     "op10_toxicity": op10_toxicity,
 }
