@@ -5,7 +5,8 @@ import pathlib
 
 import public_tokenizers
 
-from kindred.llm.bytebpe import digests, read_ranks, round_trip, tokenizer_from_ranks
+from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
+from kindred.llm.packing import pack
 from kindred.llm.ppm import language_id
 from kindred.llm.toxicity import toxicity
 
@@ -21,6 +22,10 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_packing(spark, folder):
+    return pack(table(spark, folder, "documents"), read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op4_byte_bpe(spark, folder):
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return digests(round_trip(table(spark, folder, "documents"), tokenizer_from_ranks(ranks, public_tokenizers.PATTERN)))
@@ -35,6 +40,7 @@ def op10_toxicity(spark, folder):
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_language_id": op8_language_id,
     "op10_toxicity": op10_toxicity,
