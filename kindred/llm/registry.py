@@ -6,6 +6,8 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
+from kindred.llm import topk
+from kindred.llm.curves import nearest
 from kindred.llm.packing import pack
 from kindred.llm.ppm import language_id
 from kindred.llm.toxicity import toxicity
@@ -26,11 +28,19 @@ def op2_packing(spark, folder):
     return pack(table(spark, folder, "documents"), read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op3_nearest(spark, folder):
+    return nearest(table(spark, folder, "embeddings"))
+
+
 def op4_byte_bpe(spark, folder):
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return digests(round_trip(table(spark, folder, "documents"), tokenizer_from_ranks(ranks, public_tokenizers.PATTERN)))
 
 
+def op7_exact_top_k(spark, folder):
+    return topk.exact_top_k(table(spark, folder, "embeddings"))
+
+
 def op8_language_id(spark, folder):
     return language_id(table(spark, folder, "documents"))
 
@@ -41,9 +51,11 @@ def op10_toxicity(spark, folder):
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_language_id": op8_language_id,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {"op7_exact_top_k": topk.SQL}
