@@ -8,7 +8,9 @@ reversed for decoding, where a character may be split over several tokens.
 
 import base64
 import json
+import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +20,12 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 # Most parts whose ids a worker keeps, and the longest part it keeps, in characters.
 KEPT_PARTS = 400_000
 KEPT_LENGTH = 64
-_SEPARATOR = "<|part|>"
+WORDS_IN_A_ROW = 100
+_ENCODER = {}
 
 # A simple word before a blank, full stop or comma; else all up to the next blank; blanks at the end.
 _PART = re.compile(r"[ \t-\r]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[., \t-\r]|\Z)|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+_LETTER_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 # Texts with blanks beyond ASCII are encoded in one piece: these join with the blanks next to them.
 _WIDE_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
@@ -80,51 +84,61 @@ class PartEncoder:
     """Ids of texts, as little-endian unsigned 32-bit numbers in bytes."""
 
     def __init__(self, tokenizer_json):
-        self.plain = Tokenizer.from_str(tokenizer_json)
-        self.parted = Tokenizer.from_str(tokenizer_json)
-        self.parted.add_special_tokens([_SEPARATOR])
-        self.separator = self.parted.token_to_id(_SEPARATOR)
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kept = {}
+        # Ids of tokens that begin with a blank: no other token of a letter word does.
+        begins = [i for i, token in enumerate(token_bytes(tokenizer_json)) if token[:1] == b" "]
+        self.begins = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.begins[begins] = True
 
-    def whole(self, text):
-        return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _ids(self, texts):
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(found.ids, dtype="<u4")
 
     def _learn(self, parts):
-        """Encode many parts in one call, each on its own between separators."""
-        text = _SEPARATOR.join(parts)
-        if text.count(_SEPARATOR) != len(parts) - 1:  # a part spells the separator
-            return {part: self.whole(part) for part in parts}
-        ids = np.array(self.parted.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(ids == self.separator)
-        data = ids.tobytes()
-        starts = [0, *((ends + 1) * 4).tolist()]
-        stops = [*(ends * 4).tolist(), len(data)]
-        return {part: data[a:b] for part, a, b in zip(parts, starts, stops)}
+        """`(part, ids)` of each of `parts`, which are encoded on their own.
+
+        Words of letters with a blank before them are pieces of the splitting pattern
+        wherever they stand, so many are encoded in a row and told apart by their blanks.
+        """
+        words, others = [], []
+        for part in parts:
+            (words if _LETTER_WORD.fullmatch(part) else others).append(part)
+        rows = [words[i : i + WORDS_IN_A_ROW] for i in range(0, len(words), WORDS_IN_A_ROW)]
+        for row, ids in zip(rows, self._ids(["".join(row) for row in rows])):
+            data, starts = ids.tobytes(), (np.flatnonzero(self.begins[ids]) * 4).tolist()
+            if len(starts) == len(row):
+                yield from ((part, data[a:b]) for part, a, b in zip(row, starts, [*starts[1:], len(data)]))
+            else:  # a vocabulary that ends tokens elsewhere
+                others += row
+        yield from ((part, ids.tobytes()) for part, ids in zip(others, self._ids(others)))
 
     def __call__(self, texts):
         """Ids of each text; None is taken as empty."""
         parts = [None if not t or _WIDE_BLANK.search(t) else _PART.findall(t) for t in texts]
         if len(self.kept) > KEPT_PARTS:
-            self.kept = {}
-        new = set()
-        for found in parts:
-            if found:
-                new.update(found)
-        new = [p for p in new if p not in self.kept]
+            self.kept.clear()
         long = {}
-        for at in range(0, len(new), 20_000):
-            for part, ids in self._learn(new[at : at + 20_000]).items():
-                (self.kept if len(part) <= KEPT_LENGTH else long)[part] = ids
+        for part, ids in self._learn(set(chain.from_iterable(p for p in parts if p)).difference(self.kept)):
+            (self.kept if len(part) <= KEPT_LENGTH else long)[part] = ids
         get = self.kept.__getitem__
         for text, found in zip(texts, parts):
             if found is None:
-                yield self.whole(text) if text else b""
+                yield next(self._ids([text])).tobytes() if text else b""
             elif long and not long.keys().isdisjoint(found):
                 yield b"".join([long[p] if p in long else get(p) for p in found])
             else:
                 yield b"".join(map(get, found))
 
 
+def part_encoder(tokenizer_json):
+    """The encoder of this worker process: what it has learned serves its later tasks."""
+    if _ENCODER.get("json") != tokenizer_json:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
+        _ENCODER.update(json=tokenizer_json, encoder=PartEncoder(tokenizer_json))
+    return _ENCODER["encoder"]
+
+
 def in_slices(texts, most_characters=1_000_000):
     """Stretches of a list of texts with about so many characters in all, one text at least."""
     start, held = 0, 0
@@ -146,7 +160,7 @@ def encode(docs, tokenizer_json):
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def work(batches):
-        encoder = PartEncoder(shared.value)
+        encoder = part_encoder(shared.value)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             ids = [row for part in in_slices(texts) for row in encoder(part)]
@@ -194,7 +208,7 @@ def encode_with_spans(docs, tokenizer_json):
     shared = docs.sparkSession.sparkContext.broadcast((tokenizer_json, token_bytes(tokenizer_json)))
 
     def work(batches):
-        encoder, table = PartEncoder(shared.value[0]), shared.value[1]
+        encoder, table = part_encoder(shared.value[0]), shared.value[1]
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist())):

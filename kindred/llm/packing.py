@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kindred.llm.bytebpe import PartEncoder, in_slices
+from kindred.llm.bytebpe import in_slices, part_encoder
 from kindred.storage import materialize
 
 SEQUENCE = 2048
@@ -165,7 +165,7 @@ def pieces(docs, tokenizer_json, length=SEQUENCE, end_id=END_ID, class_step=CLAS
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def work(batches):
-        encoder, part = PartEncoder(shared.value), TaskContext.get().partitionId()
+        encoder, part = part_encoder(shared.value), TaskContext.get().partitionId()
         met = [0] * (length // class_step + 1)
         for batch in batches:
             ids_of, at = batch.column("doc_id").to_pylist(), 0
