@@ -35,7 +35,7 @@ def bounded_sample(texts, labelled, limit_chars):
     share = rows.groupBy("label").agg(
         F.greatest(F.min("_draw"), F.floor(F.lit(float(GRAIN)) * limit_chars / F.sum(F.col("_size") + 1)).cast("long")).alias("_most")
     )
-    chosen = rows.join(share, "label").where("_draw <= _most").select("doc_id", "label").distinct()
+    chosen = rows.join(F.broadcast(share), "label").where("_draw <= _most").select("doc_id", "label").distinct()
     chosen = materialize(chosen, "sample-ids")
     return materialize(texts.join(F.broadcast(chosen), "doc_id").where("text is not null"), "sample")
 

@@ -6,11 +6,12 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
-from kindred.llm import topk
+from kindred.llm import rollup, topk
 from kindred.llm.curves import nearest
 from kindred.llm.packing import pack
 from kindred.llm.ppm import language_id
 from kindred.llm.toxicity import toxicity
+from kindred.storage import scratch_path
 
 _ROOT = str(pathlib.Path(__file__).resolve().parents[2])
 
@@ -45,6 +46,11 @@ def op8_language_id(spark, folder):
     return language_id(table(spark, folder, "documents"))
 
 
+def op9_token_counts(spark, folder):
+    withdrawn = table(spark, folder, "labels").where("quality = 0")
+    return rollup.maintained(table(spark, folder, "documents"), withdrawn, scratch_path(spark, "rollup"))
+
+
 def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -55,7 +61,8 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_language_id": op8_language_id,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL = {"op7_exact_top_k": topk.SQL}
+ORACLE_SQL = {"op7_exact_top_k": topk.SQL, "op9_token_counts": rollup.SQL}
