@@ -8,6 +8,7 @@ import public_tokenizers
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
 from kindred.llm import rollup, topk
 from kindred.llm.curves import nearest
+from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
 from kindred.llm.ppm import language_id
 from kindred.llm.toxicity import toxicity
@@ -38,6 +39,10 @@ def op4_byte_bpe(spark, folder):
     return digests(round_trip(table(spark, folder, "documents"), tokenizer_from_ranks(ranks, public_tokenizers.PATTERN)))
 
 
+def op5_kneser_ney(spark, folder):
+    return language_model_scores(table(spark, folder, "documents"))
+
+
 def op7_exact_top_k(spark, folder):
     return topk.exact_top_k(table(spark, folder, "embeddings"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_kneser_ney": op5_kneser_ney,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
