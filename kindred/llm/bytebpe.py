@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 # Most parts whose ids a worker keeps, and the longest part it keeps, in characters.
-KEPT_PARTS = 400_000
+KEPT_PARTS = 600_000
 KEPT_LENGTH = 64
 WORDS_IN_A_ROW = 100
 _ENCODER = {}
@@ -27,7 +27,7 @@ _ENCODER = {}
 _PART = re.compile(r"[ \t-\r]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[., \t-\r]|\Z)|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _LETTER_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 # Texts with blanks beyond ASCII are encoded in one piece: these join with the blanks next to them.
-_WIDE_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_WIDE_BLANK = re.compile("[\x85\xa0  -     　]")
 
 
 def byte_characters():
@@ -115,7 +115,7 @@ class PartEncoder:
 
     def __call__(self, texts):
         """Ids of each text; None is taken as empty."""
-        parts = [None if not t or _WIDE_BLANK.search(t) else _PART.findall(t) for t in texts]
+        parts = [_PART.findall(t) if t and (t.isascii() or not _WIDE_BLANK.search(t)) else None for t in texts]
         if len(self.kept) > KEPT_PARTS:
             self.kept.clear()
         long = {}

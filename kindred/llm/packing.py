@@ -233,8 +233,8 @@ def _pour(table, rooms, sequences, length):
     """Long documents, laid end to end, cut where the rooms end; beyond the rooms, every `length` tokens."""
     long = table.where("class = 0")
     parts = long.groupBy("part").agg(F.sum("length").alias("_n")).select("part", _before("_n", "part").alias("_base"))
-    long = long.join(parts, "part").withColumn("_at", F.col("_base") + F.col("place"))
-    narrow = long.select("part", "place", "length", "_at")
+    narrow = long.select("part", "place", "length").join(parts, "part")
+    narrow = narrow.withColumn("_at", F.col("_base") + F.col("place")).drop("_base")
     room = rooms.agg(F.coalesce(F.max("_until"), F.lit(0)).alias("n")).first()["n"]
     stretches = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / length), F.floor((F.col(b) - 1) / length)))
     left = narrow.where(F.col("_at") < room).withColumn("_end", F.col("_at") + F.col("length"))
