@@ -8,88 +8,23 @@ into shards by context. A context that fills a shard alone is split by its follo
 """
 
 import os
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.learn import narrowed, remainder
+from kindred.llm.mapped import COUNT_TYPES, GATHERED, Gathering, edges_of, find, mapped_folder, packed, read_array, shard_bits, summed, unpacked, write_array
 from kindred.llm.words import Words, mix, text_pieces
 from kindred.storage import scratch_path
 
 # Characters of training text for each shard of the tables, about.
 SHARD_CHARS = 8_000_000
-# Entries a task gathers before it sends them on.
-GATHERED = 6_000_000
 END_HASH = mix(np.array([0x656E64], dtype=np.uint64))[0]
 
-_NARROW = (np.uint8, np.uint16, np.uint32, np.int64)
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def mapped_folder(uri):
-    """Path of a folder in the shared file system; workers must be able to map its files."""
-    parts = urlparse(uri)
-    if parts.scheme not in ("", "file"):
-        raise ValueError(f"{uri}: the model needs a shared folder that is mounted on all workers (file:)")
-    return parts.path
-
-
-def write_array(folder, name, values):
-    """Store an array; a task that is tried again replaces the file in one step."""
-    os.makedirs(folder, exist_ok=True)
-    own = os.path.join(folder, f".{name}-{os.getpid()}-{id(values)}")
-    with open(own, "wb") as out:
-        np.save(out, values)
-    os.replace(own, os.path.join(folder, f"{name}.npy"))
-
-
-def read_array(folder, name):
-    return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r")
-
-
-def packed(values):
-    """An array of whole numbers as bytes, in the narrowest type that holds them, its name first."""
-    top = int(values.max()) if len(values) else 0
-    kind = next(k for k in _NARROW if top <= np.iinfo(k).max)
-    return np.dtype(kind).str.encode().ljust(4) + values.astype(kind).tobytes()
-
-
-def unpacked(data):
-    return np.frombuffer(data, dtype=np.dtype(data[:4].decode().strip()), offset=4)
-
-
-def summed(keys, counts):
-    """Sorted distinct keys and the sums of their counts."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
-
-
-class Gathering:
-    """Keys with counts, summed up in a task."""
-
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
-
-    def add(self, keys):
-        distinct, counts = np.unique(keys, return_counts=True)
-        self.keys.append(distinct)
-        self.counts.append(counts)
-        self.held += len(distinct)
-
-    def take(self):
-        keys, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        if self.keys:
-            keys, counts = summed(np.concatenate(self.keys), np.concatenate(self.counts))
-        self.keys, self.counts, self.held = [], [], 0
-        return keys, counts
-
-
 def with_ends(values, per_row, end):
     """`values` with `end` behind each row, and where rows start."""
     sizes = per_row + 1
@@ -119,11 +54,10 @@ class Vocabulary:
     def numbers(self, hashes):
         """Numbers of sorted distinct hashes."""
         result = np.full(len(hashes), self.unknown, dtype=np.int64)
-        edges = np.searchsorted(hashes >> np.uint64(64 - self.bits) if self.bits else hashes * np.uint64(0), np.arange((1 << self.bits) + 1))
+        edges = edges_of(hashes, self.bits)
         for i in np.flatnonzero(np.diff(edges) * self.sizes):
-            asked, table = hashes[edges[i] : edges[i + 1]], self.shard("words", i)
-            at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
-            result[edges[i] : edges[i + 1]] = np.where(table[at] == asked, self.offsets[i] + at, self.unknown)
+            at = find(self.shard("words", i), hashes[edges[i] : edges[i + 1]])
+            result[edges[i] : edges[i + 1]] = np.where(at >= 0, self.offsets[i] + at, self.unknown)
         return result
 
     def columns(self, kinds, numbers):
@@ -170,8 +104,7 @@ def count_words(texts, folder, bits):
 
     def send(gathering):
         keys, counts = gathering.take()
-        shards = keys >> np.uint64(64 - bits) if bits else keys * np.uint64(0)
-        edges = np.searchsorted(shards, np.arange((1 << bits) + 1))
+        edges = edges_of(keys, bits)
         used = np.flatnonzero(np.diff(edges))
         return _emit(
             ([int(i) for i in used], [keys[edges[i] : edges[i + 1]].tobytes() for i in used], [packed(counts[edges[i] : edges[i + 1]]) for i in used]),
@@ -269,7 +202,7 @@ def count_pairs(texts, vocabulary, layout):
         keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
         shard = key[0].as_py()
         write_array(folder, f"pairs-{shard}", keys)
-        write_array(folder, f"times-{shard}", counts.astype(next(k for k in _NARROW if counts.max() <= np.iinfo(k).max)))
+        write_array(folder, f"times-{shard}", counts.astype(next(k for k in COUNT_TYPES if counts.max() <= np.iinfo(k).max)))
         contexts = (keys >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
         sums = [np.add.reduceat(v, first) for v in (counts, counts == 1, counts == 2, counts > 2)]
@@ -368,8 +301,8 @@ class Model:
             if self.maps[i] is None:
                 continue
             part, (table, times) = order[edges[i] : edges[i + 1]], self.maps[i]
-            at = np.minimum(np.searchsorted(table, keys[part]), len(table) - 1)
-            result[part] = np.where(table[at] == keys[part], times[at], 0)
+            at = find(table, keys[part])
+            result[part] = np.where(at >= 0, times[at], 0)
         return result
 
     def lower(self, before):
@@ -406,7 +339,7 @@ def train(texts, folder, shard_chars=SHARD_CHARS):
     folder = mapped_folder(folder)
     texts = texts.select("text")
     chars = texts.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0)).alias("n")).first()["n"]
-    bits = max(0, int(np.ceil(np.log2(max(chars / shard_chars, 1)))))
+    bits = shard_bits(chars, shard_chars)
     vocabulary, tokens, hot = count_words(texts, folder, bits)
     if vocabulary.unknown >= 1 << 32:
         raise ValueError("more than 2**32 - 2 different words")

@@ -6,7 +6,7 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
-from kindred.llm import rollup, topk
+from kindred.llm import rollup, substrings, topk
 from kindred.llm.curves import nearest
 from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
@@ -26,6 +26,10 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, folder):
+    return substrings.digests(substrings.drop_repeats(table(spark, folder, "documents")))
+
+
 def op2_packing(spark, folder):
     return pack(table(spark, folder, "documents"), read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -61,6 +65,7 @@ def op10_toxicity(spark, folder):
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
