@@ -11,6 +11,7 @@ from kindred.llm.curves import nearest
 from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
 from kindred.llm.ppm import language_id
+from kindred.llm.probminhash import near_duplicates
 from kindred.llm.toxicity import toxicity
 from kindred.storage import scratch_path
 
@@ -47,6 +48,10 @@ def op5_kneser_ney(spark, folder):
     return language_model_scores(table(spark, folder, "documents"))
 
 
+def op6_near_duplicates(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_exact_top_k(spark, folder):
     return topk.exact_top_k(table(spark, folder, "embeddings"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_kneser_ney": op5_kneser_ney,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
