@@ -1,7 +1,18 @@
-"""From documents to training sequences: five stages, each written and reread."""
+"""From documents to training sequences: five stages, each written and reread.
 
+Each stage works on all that the one before it kept. All but the last return the columns
+of documents.
+"""
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from kindred.llm.bytebpe import read_tokenizer
+from kindred.llm.packing import pack
 from kindred.llm.ppm import UNDECIDED, language_id
+from kindred.llm.probminhash import near_duplicates
 from kindred.llm.registry import table
+from kindred.llm.substrings import drop_repeats
 from kindred.llm.toxicity import toxicity
 from kindred.storage import materialize
 
@@ -9,22 +20,45 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents not predicted toxic. Those without words are kept, whatever their score."""
-    judged = toxicity(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    """Documents that are not predicted toxic."""
+    judged = toxicity(docs, table(spark, sf_dir, "labels"), keep=DOCUMENT_COLUMNS)
+    return judged.where("predicted = 0").select(*DOCUMENT_COLUMNS)
 
 
 def keep_identified(spark, docs, sf_dir):
     """Documents whose language can be told; `lang` becomes the predicted language."""
-    judged = language_id(docs).where(f"lang_pred <> '{UNDECIDED}'").select("doc_id", "lang_pred").distinct()
-    kept = docs.join(judged, "doc_id")
-    return kept.withColumn("lang", kept["lang_pred"]).select(*DOCUMENT_COLUMNS)
+    judged = language_id(docs, keep=DOCUMENT_COLUMNS).where(F.col("lang_pred") != UNDECIDED)
+    return judged.withColumn("lang", F.col("lang_pred")).select(*DOCUMENT_COLUMNS)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """Of each group of near copies the document with the smallest id; rows without an id stay.
+
+    Rows with one id count as one document, of which one row stays.
+    """
+    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null")).select(*DOCUMENT_COLUMNS)
+
+
+def drop_repeated_passages(spark, docs, sf_dir):
+    """Documents without the passages that are in an earlier one; texts without such stay as they are."""
+    judged = drop_repeats(docs, keep=DOCUMENT_COLUMNS)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return judged.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
+
+
+def pack_sequences(spark, docs, sf_dir):
+    """Pieces of the documents in sequences of 2048 tokens."""
+    return pack(docs, read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [
     ("toxicity", drop_toxic),
     ("language_id", keep_identified),
+    ("near_duplicates", drop_near_duplicates),
+    ("substrings", drop_repeated_passages),
+    ("packing", pack_sequences),
 ]
 
 # Trained models and near copies have no SQL; tests compare with brute force instead.

@@ -130,10 +130,23 @@ def row_maxima(values, first, empty=0.0):
     return result
 
 
-def narrowed(docs):
-    """The two columns the operators read, whatever else the table holds."""
-    return docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+def narrowed(docs, keep=("doc_id",)):
+    """The text and the columns that are kept, whatever else the table holds."""
+    return docs.select(*(docs[c].alias(c) for c in dict.fromkeys([*keep, "text"])))
 
 
-def arrays(schema, *columns):
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+def mapped(docs, keep, added, work):
+    """Rows of `keep` with the columns `added`, a DDL string, that `work` makes.
+
+    `work` takes an iterator of Arrow batches and yields `(batch, columns)`; the text of
+    `docs` is there for it.
+    """
+    rows = narrowed(docs, keep)
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
+    names = [*keep, *(part.split()[0] for part in added.split(", "))]
+
+    def whole(batches):
+        for batch, columns in work(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names)
+
+    return rows.mapInArrow(whole, ", ".join([*kinds, added]))

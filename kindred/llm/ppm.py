@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-from kindred.llm.learn import ChainSums, WordScorer, arrays, bounded_sample, narrowed, remainder, row_sums, word_counts
+from kindred.llm.learn import ChainSums, WordScorer, bounded_sample, mapped, narrowed, remainder, row_sums, word_counts
 
 # Bytes of context and the byte itself.
 ORDER = 5
@@ -27,7 +27,6 @@ SAMPLE_CHARS = 1_000_000
 UNDECIDED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 class ContextTree:
@@ -99,8 +98,8 @@ def code_lengths(scorer, column):
     return result
 
 
-def identify(docs, models):
-    """`(doc_id, lang_pred, score)` for every row of `docs`.
+def identify(docs, models, keep=("doc_id",)):
+    """The columns `keep` with `lang_pred, score` for every row of `docs`.
 
     `score` is the share of the language among all under the exact code lengths, 2 to the
     minus bits, normalised; equal lengths go to the language first in the alphabet. A null
@@ -124,13 +123,13 @@ def identify(docs, models):
                 least = bits.min(axis=1)
                 score = 1 / np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(axis=1)
             best = np.where(lettered, best, len(models.languages))
-            yield arrays(SCHEMA, batch.column("doc_id"), names[best], np.where(lettered, score, 0.0))
+            yield batch, [pa.array(names[best], pa.string()), pa.array(np.where(lettered, score, 0.0))]
 
-    return narrowed(docs).mapInArrow(work, "doc_id bigint, lang_pred string, score double")
+    return mapped(docs, keep, "lang_pred string, score double", work)
 
 
-def language_id(docs, sample_chars=SAMPLE_CHARS):
-    """`(doc_id, held_out, lang_pred, score)` for every row of `docs`.
+def language_id(docs, sample_chars=SAMPLE_CHARS, keep=("doc_id",)):
+    """The columns `keep` with `held_out, lang_pred, score` for every row of `docs`.
 
     Learns from the rows that have a text and a language and are not held out; `held_out`:
     crc32 of the id as text leaves 1 when divided by 3 (null for a null id). Predictions
@@ -138,4 +137,5 @@ def language_id(docs, sample_chars=SAMPLE_CHARS):
     """
     held_out = remainder(F.col("doc_id"), 3) == 1
     models = fit(docs.where(~held_out), sample_chars)
-    return identify(docs, models).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    found = identify(docs, models, dict.fromkeys(["doc_id", *keep]))
+    return found.select(*keep, held_out.alias("held_out"), "lang_pred", "score")

@@ -18,12 +18,17 @@ from kindred.storage import scratch_path
 _ROOT = str(pathlib.Path(__file__).resolve().parents[2])
 
 
-def table(spark, folder, name):
-    """A test table; Python workers that Spark starts from now on find this package too."""
+def reachable(spark):
+    """Let the Python workers that Spark starts from now on import this package."""
     environment = spark.sparkContext.environment
     held = environment.get("PYTHONPATH", "")
     if _ROOT not in held.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(p for p in (_ROOT, held) if p)
+
+
+def table(spark, folder, name):
+    """A test table."""
+    reachable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

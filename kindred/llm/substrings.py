@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.automaton import SuffixAutomaton
-from kindred.llm.learn import narrowed
+from kindred.llm.learn import mapped, narrowed
 from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, mapped_folder, packed, shard_bits, summed, unpacked, write_array
 from kindred.llm.words import Words, gram_hashes, mix, sliding_argmin, text_pieces, within_rows
 from kindred.storage import scratch_path
@@ -224,8 +224,8 @@ def kept_texts(words, kept):
     return [data[a : max(a, b - 1)] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
-def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SHARD_CHARS):
-    """`(doc_id, text, n_words, n_removed)` for every row: what is left without repeated windows.
+def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SHARD_CHARS, keep=("doc_id",)):
+    """The columns `keep` with `kept_text, n_words, n_removed` for every row: what is left without repeated windows.
 
     Words are runs without blanks, unchanged. A window is `window` consecutive words of one
     document; all words of a window are removed if its sequence starts earlier as well: in
@@ -242,7 +242,7 @@ def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SH
     """
     if not 0 < anchor <= window:
         raise ValueError("an anchor must lie within a window")
-    docs = narrowed(docs)
+    table, docs = docs, narrowed(docs)
     folder = mapped_folder(folder or scratch_path(docs.sparkSession, "substrings"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0)).alias("n")).first()["n"]
     bits = shard_bits(chars, shard_chars)
@@ -267,14 +267,12 @@ def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SH
                 counts.append(words.counts)
                 gone.append(np.diff(np.concatenate([[0], np.cumsum(~kept)])[words.first]))
             numbers = [np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (counts, gone)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), *(pa.array(n.astype(np.int64)) for n in numbers)],
-                ["doc_id", "text", "n_words", "n_removed"],
-            )
+            yield batch, [pa.array(texts, pa.binary()).cast(pa.string()), *(pa.array(n.astype(np.int64)) for n in numbers)]
 
-    return docs.mapInArrow(work, "doc_id bigint, text string, n_words bigint, n_removed bigint")
+    found = mapped(table, dict.fromkeys(["doc_id", *keep]), "kept_text string, n_words bigint, n_removed bigint", work)
+    return found.select(*keep, "kept_text", "n_words", "n_removed")
 
 
 def digests(kept):
     """`(doc_id, n_words, n_removed, kept_sha256)` of rows of `drop_repeats`."""
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

@@ -16,15 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kindred.llm.learn import ChainSums, WordScorer, arrays, bounded_sample, narrowed, remainder, row_maxima, row_sums, word_counts
+from kindred.llm.learn import ChainSums, WordScorer, bounded_sample, mapped, narrowed, remainder, row_maxima, row_sums, word_counts
 
 ORDER = 6
 DISCOUNT = 0.75
 # Characters of labelled text taken for each class; the only bound of the fit.
 SAMPLE_CHARS = 6_000_000
 
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
 
 def _grams(word, order):
     chain = ChainSums.START + word + ChainSums.END
@@ -174,22 +172,21 @@ def fit(docs, labelled, sample_chars=SAMPLE_CHARS):
     return models, fit_logistic(x, labels)
 
 
-def score_toxicity(docs, fitted):
-    """`(doc_id, score)` for every row; null and empty texts are scored as having no words."""
+def score_toxicity(docs, fitted, keep=("doc_id",)):
+    """The columns `keep` and `score` of every row; null and empty texts are scored as having no words."""
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def work(batches):
         models, beta = shared.value
         scorer = models.scorer()
         for batch in batches:
-            found = chances(beta, features(scorer, batch.column("text")))
-            yield arrays(SCHEMA, batch.column("doc_id"), found)
+            yield batch, [pa.array(chances(beta, features(scorer, batch.column("text"))))]
 
-    return narrowed(docs).mapInArrow(work, "doc_id bigint, score double")
+    return mapped(docs, keep, "score double", work)
 
 
-def toxicity(docs, labels, sample_chars=SAMPLE_CHARS):
-    """`(doc_id, held_out, score, predicted)` for every row of `docs`.
+def toxicity(docs, labels, sample_chars=SAMPLE_CHARS, keep=("doc_id",)):
+    """The columns `keep` with `held_out, score, predicted` for every row of `docs`.
 
     Learns from rows of `labels` (`doc_id`, `toxic` 0 or 1) whose id is not held out;
     `held_out`: crc32 of the id as text is a multiple of 5. A null or empty text gets the
@@ -201,7 +198,6 @@ def toxicity(docs, labels, sample_chars=SAMPLE_CHARS):
     labels = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].alias("toxic"))
     held_out = remainder(F.col("doc_id"), 5) == 0
     fitted = fit(docs, labels.where(~held_out), sample_chars)
-    scored = score_toxicity(docs, fitted)
-    return scored.select(
-        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
-    )
+    scored = score_toxicity(docs, fitted, dict.fromkeys(["doc_id", *keep]))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select(*keep, held_out.alias("held_out"), "score", predicted)
