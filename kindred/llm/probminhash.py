@@ -7,8 +7,9 @@ all components have. Two documents agree in a component with the probability Jac
 similarity of their weights, which is the plain Jaccard similarity for equal weights.
 
 Documents that share a band of components are compared exactly. Within a bucket all are
-first compared with one of them; after that only documents that are not yet in one class
-are compared with each other, so a group of near copies costs a comparison a member.
+first compared with one of them, in a few rounds with another one each; after that only
+documents that are not yet in one class are compared with each other, in blocks. So a group
+of near copies costs a few comparisons a member.
 """
 
 import numpy as np
@@ -23,6 +24,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # A pair of similarity 0.8 misses all bands with a probability of 3 in a million.
 BANDS, ROWS = 24, 4
+# Rounds in which the members of a bucket are compared with one of them.
+PIVOT_ROUNDS = 2
+# Members of a bucket that are compared with as many others in one task.
+BLOCK = 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -196,29 +201,103 @@ def components(links):
             return labels
 
 
+def _mixed(shared, labels):
+    """Members `(bucket, node, size, label)` of the buckets that hold more than one class, written."""
+    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
+    return materialize(labelled.join(mixed.select("bucket"), "bucket").select("bucket", "node", "size", "label"), "mixed")
+
+
+def overlaps(left, right):
+    """How many hashes each of the sorted arrays `left` shares with each of `right`."""
+    common = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    result = np.zeros((len(left), len(right)), dtype=np.float32)
+
+    def marks(sets, part):
+        table = np.zeros((len(sets), len(part)), dtype=np.float32)
+        for row, hashes in zip(table, sets):
+            at = np.minimum(np.searchsorted(part, hashes), len(part) - 1)
+            row[at[part[at] == hashes]] = 1
+        return table
+
+    for start in range(0, len(common), 16_384):
+        part = common[start : start + 16_384]
+        result += marks(left, part) @ marks(right, part).T
+    return result
+
+
+def links_in_buckets(members, sets, similarity, weight):
+    """Links between members of different classes that share a bucket, written.
+
+    A bucket is cut into blocks of bounded size, and every two of its blocks meet in one
+    task, which counts what their sets have in common; only links leave it.
+    """
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    placed = members.join(blocks, "bucket").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cells = placed.select("node", "label", "bucket", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), (F.col("_own") > F.col("_other")).alias("_upper"))
+
+    def compare(key, rows):
+        same = key[1].as_py() == key[2].as_py()
+        nodes, labels, upper = (rows[c].to_numpy(zero_copy_only=False) for c in ("node", "label", "_upper"))
+        hashes = [np.frombuffer(h, dtype=np.uint64) for h in rows["hashes"].to_pylist()]
+        counts = [None if c is None else np.frombuffer(c, dtype=np.uint32).astype(float) for c in rows["counts"].to_pylist()]
+        sides = (np.arange(len(nodes)),) * 2 if same else (np.flatnonzero(~upper), np.flatnonzero(upper))
+        found = []
+        if all(len(s) for s in sides):
+            shared = overlaps(*([hashes[i] for i in side] for side in sides))
+            sizes = np.array([len(h) for h in hashes], dtype=float)
+            m, n = sizes[sides[0]][:, None], sizes[sides[1]][None, :]
+            near = shared / (m + n - shared) >= similarity - 1e-6 if weight == "set" else shared > 0
+            near &= labels[sides[0]][:, None] != labels[sides[1]][None, :]
+            for i, j in zip(*np.nonzero(near)):
+                a, b = sorted((int(sides[0][i]), int(sides[1][j])), key=lambda k: nodes[k])
+                value = probability_jaccard(hashes[a], hashes[b], counts[a], counts[b])
+                if value >= similarity:
+                    found.append((int(nodes[a]), int(nodes[b]), value))
+        columns = list(zip(*found)) or [(), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table({name: pa.array(c, k) for name, c, k in zip(("a", "b", "similarity"), columns, kinds)})
+
+    if weight == "set":
+        sets = sets.withColumn("counts", F.lit(None).cast("binary"))
+    grouped = cells.join(sets, "node").groupBy("bucket", "_low", "_high")
+    return materialize(grouped.applyInArrow(compare, "a bigint, b bigint, similarity double").distinct(), "links")
+
+
 def linked_classes(docs, heads, similarity, shingle, weight):
-    """`(node, label)` of the heads that share a class with another, by links between different texts."""
+    """`(node, label)` of the heads that share a class with another, by links between different texts.
+
+    In each round the members of a bucket are compared with one of them, the same in all
+    buckets of a group: the one whose hash for that round is the smallest. Buckets whose
+    members are all in one class are done. After the rounds, the members of the other
+    buckets are compared with each other where their classes differ.
+    """
     buckets = heads.select("node", "size", F.explode("bands").alias("bucket"))
-    first = buckets.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    first = materialize(first.select("bucket", "first"), "buckets")
-    shared = materialize(buckets.join(first, "bucket"), "members")
+    crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
+    crowded = materialize(crowded, "buckets")
+    shared = materialize(buckets.join(crowded, "bucket"), "members")
     sets = shingle_sets(docs, shared.select("node").distinct(), shingle)
-    sizes = shared.select(F.col("node").alias("first"), F.col("size").alias("_size")).distinct()
     fits = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) if weight == "set" else F.lit(True)
-    star = shared.where("node <> first").select("first", "node", "size").distinct().join(sizes, "first")
-    star = star.where(fits(F.col("size"), F.col("_size"))).select(F.col("first").alias("a"), F.col("node").alias("b"))
-    links = verified(star, sets, similarity, weight)
-    labels = components(links)
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
-    open_rows = materialize(labelled.join(mixed.select("bucket"), "bucket").select("bucket", "node", "size", "label"), "open")
-    left = open_rows.select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "label")))
-    right = open_rows.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")))
-    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-    cross = left.join(right, "bucket").where(apart & fits(F.col("size_a"), F.col("size_b")))
-    cross = cross.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = verified(cross.join(star, ["a", "b"], "left_anti"), sets, similarity, weight)
-    return components(links.unionByName(more))
+    members = materialize(shared.withColumn("label", F.col("node")), "mixed")
+    tried, links = None, None
+    for turn in range(PIVOT_ROUNDS):
+        pivot = F.struct(F.xxhash64("node", F.lit(turn)), "node", "size", "label")
+        pivots = members.groupBy("bucket").agg(F.min(pivot).alias("p")).select(
+            "bucket", F.col("p.node").alias("_pivot"), F.col("p.size").alias("_size"), F.col("p.label").alias("_label")
+        )
+        star = members.join(materialize(pivots, "pivots"), "bucket").where(F.col("label") != F.col("_label"))
+        star = star.where(fits(F.col("size"), F.col("_size")))
+        star = star.select(F.least("node", "_pivot").alias("a"), F.greatest("node", "_pivot").alias("b")).distinct()
+        star = materialize(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), "stars")
+        found = verified(star, sets, similarity, weight)
+        tried = star if tried is None else tried.unionByName(star)
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+        members = _mixed(members.drop("label"), labels)
+        if members.isEmpty():
+            return labels
+    return components(links.unionByName(links_in_buckets(members, sets, similarity, weight)))
 
 
 def near_duplicates(docs, similarity=SIMILARITY, shingle=SHINGLE, bands=BANDS, rows=ROWS, weight="set"):
