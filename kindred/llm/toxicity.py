@@ -21,7 +21,7 @@ from kindred.llm.learn import ChainSums, WordScorer, bounded_sample, mapped, nar
 ORDER = 6
 DISCOUNT = 0.75
 # Characters of labelled text taken for each class; the only bound of the fit.
-SAMPLE_CHARS = 6_000_000
+SAMPLE_CHARS = 3_000_000
 
 
 def _grams(word, order):
@@ -61,6 +61,9 @@ class ClassModels:
             held[gram[:-1]] += n
             seen[gram[:-1]] += 1
         self.held, self.seen = dict(held), dict(seen)
+        # What was seen is worked out here once; workers need the counts of the rest only.
+        self.known = {gram: self.apart(gram) for gram in {**self.joint[0], **self.joint[1]}}
+        self.joint = [{}, {}]
 
     def shared(self, context, byte):
         """Continuation probability that both classes back off to."""
@@ -91,11 +94,12 @@ class ClassModels:
 
     def scorer(self):
         """Scores of words: difference of the two log-likelihoods a byte, and in all."""
-        sums = ChainSums(self.apart, 1, self.order)
+        known, apart = self.known, self.apart
+        sums = ChainSums(lambda gram: known[gram] if gram in known else apart(gram), 1, self.order)
 
         def score(words):
-            apart = sums(words)[:, 0]
-            return np.column_stack([apart / np.array([len(w) + 1 for w in words]), apart])
+            total = sums(words)[:, 0]
+            return np.column_stack([total / np.array([len(w) + 1 for w in words]), total])
 
         return WordScorer(score, 2)
 
