@@ -10,6 +10,8 @@ automaton reads these and gives matching statistics, the longest reference that
 each word. What does not match for a whole window, word by word, stays.
 """
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ WINDOW = 20
 ANCHOR = 8
 # Characters of text for each shard of the tables and of the reference, about.
 SHARD_CHARS = 8_000_000
+# Most digests of passages a task keeps, so that it does not send one again.
+SENT = 500_000
 # Where documents without an id stand: behind all others, as if they were one.
 NO_ID = np.iinfo(np.int64).max
 
@@ -168,10 +172,10 @@ def passages(docs, anchors, places, window, anchor):
                 stretch = words.data[words.starts[starts[a]] : words.ends[starts[b] + window - 1]].tobytes()
                 # Blanks may differ between copies; words alone count.
                 found = (int(shards[a]), bool(here[a]), b" ".join(stretch.split()))
-                if (key := hash(found)) not in sent:
+                if (key := blake2b(found[2], digest_size=16, key=b"%d %d" % found[:2]).digest()) not in sent:
                     sent.add(key)
                     rows.append(found)
-            if len(sent) > 2_000_000:
+            if len(sent) > SENT:
                 sent.clear()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PASSAGES)], schema=_PASSAGES)
