@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+from kindred.llm.words import worker_state
+
 # Most parts whose ids a worker keeps, and the longest part it keeps, in characters.
 KEPT_PARTS = 600_000
 KEPT_LENGTH = 64
 WORDS_IN_A_ROW = 100
-_ENCODER = {}
 
 # A simple word before a blank, full stop or comma; else all up to the next blank; blanks at the end.
 _PART = re.compile(r"[ \t-\r]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[., \t-\r]|\Z)|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -133,10 +134,8 @@ class PartEncoder:
 
 def part_encoder(tokenizer_json):
     """The encoder of this worker process: what it has learned serves its later tasks."""
-    if _ENCODER.get("json") != tokenizer_json:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
-        _ENCODER.update(json=tokenizer_json, encoder=PartEncoder(tokenizer_json))
-    return _ENCODER["encoder"]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
+    return worker_state(tokenizer_json, lambda: PartEncoder(tokenizer_json))
 
 
 def in_slices(texts, most_characters=1_000_000):

@@ -1,10 +1,12 @@
 """What the two classifiers share: a bounded sample, its word counts, scores by word."""
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kindred.llm.words import Words, text_pieces
+from kindred.llm.words import Words, text_pieces, worker_state
 from kindred.storage import materialize
 
 # Hash buckets a sample is cut from.
@@ -63,11 +65,11 @@ class ChainSums:
 
     def __init__(self, value, width, order):
         self.value, self.width, self.order = value, width, order
-        self.place, self.rows = {}, []
+        self.place, self.rows = {}, array("d")
 
     def __call__(self, words):
-        if len(self.rows) > KEPT_GRAMS:
-            self.place, self.rows = {}, []
+        if len(self.place) > KEPT_GRAMS:
+            self.place, self.rows = {}, array("d")
         order, place, rows, value = self.order, self.place, self.rows, self.value
         used, bounds = [], [0]
         for word in words:
@@ -76,11 +78,11 @@ class ChainSums:
                 gram = chain[end - order if end > order else 0 : end]
                 at = place.get(gram)
                 if at is None:
-                    at = place[gram] = len(rows)
-                    rows.append(value(gram))
+                    at = place[gram] = len(place)
+                    rows.extend(value(gram))
                 used.append(at)
             bounds.append(len(used))
-        values = np.array(rows, dtype=float).reshape(-1, self.width)[np.array(used, dtype=np.int64)]
+        values = np.array(rows).reshape(-1, self.width)[np.array(used, dtype=np.int64)]
         return row_sums(values, np.array(bounds))
 
 
@@ -146,6 +148,7 @@ def mapped(docs, keep, added, work):
     names = [*keep, *(part.split()[0] for part in added.split(", "))]
 
     def whole(batches):
+        worker_state()
         for batch, columns in work(batches):
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.learn import narrowed
-from kindred.llm.words import Words, gram_hashes, mix, text_pieces
+from kindred.llm.words import Words, gram_hashes, mix, text_pieces, worker_state
 from kindred.storage import materialize, materialize_observed
 
 SHINGLE = 5
@@ -103,6 +103,7 @@ def described(docs, shingle, bands, rows, weight):
     """`(doc_id, size, print_a, print_b, bands)` of documents with words, written."""
 
     def work(batches):
+        worker_state()
         for batch in batches:
             for row, data, bounds in text_pieces(batch.column("text")):
                 n = len(bounds) - 1

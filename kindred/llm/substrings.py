@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from kindred.llm.automaton import SuffixAutomaton
 from kindred.llm.learn import mapped, narrowed
 from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, mapped_folder, packed, shard_bits, summed, unpacked, write_array
-from kindred.llm.words import Words, gram_hashes, mix, sliding_argmin, text_pieces, within_rows
+from kindred.llm.words import Words, gram_hashes, mix, sliding_argmin, text_pieces, within_rows, worker_state
 from kindred.storage import scratch_path
 
 WINDOW = 20
@@ -59,6 +59,7 @@ class Windows:
 
 def _batches(batches, window, anchor):
     """Windows of the stretches of Arrow batches, with the ids of their rows."""
+    worker_state()
     for batch in batches:
         ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
         for row, data, bounds in text_pieces(batch.column("text")):

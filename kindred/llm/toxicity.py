@@ -45,57 +45,56 @@ class ClassModels:
                         joint[side][gram] += pair[side]
                 if gram not in tails:
                     tails.update(gram[cut:] for cut in range(len(gram) - 1))  # each with the byte before
-        self.joint = [dict(c) for c in joint]
-        self.total, self.kinds = [], []
+        # Of each context and class: counts in all, and different bytes.
+        contexts = {}
         for side in (0, 1):
-            total, kinds = Counter(), Counter()
             for gram, n in joint[side].items():
-                total[gram[:-1]] += n
-                kinds[gram[:-1]] += 1
-            self.total.append(dict(total))
-            self.kinds.append(dict(kinds))
-        before = Counter(gram[1:] for gram in tails)  # distinct bytes before a gram
-        self.before = dict(before)
-        held, seen = Counter(), Counter()
-        for gram, n in before.items():
-            held[gram[:-1]] += n
-            seen[gram[:-1]] += 1
-        self.held, self.seen = dict(held), dict(seen)
+                held = contexts.setdefault(gram[:-1], [0, 0, 0, 0])
+                held[2 * side] += n
+                held[2 * side + 1] += 1
+        self.contexts = {context: tuple(held) for context, held in contexts.items()}
+        self.before = dict(Counter(gram[1:] for gram in tails))  # different bytes before a gram
+        tails = None
+        held = {}
+        for gram, n in self.before.items():
+            pair = held.setdefault(gram[:-1], [0, 0])
+            pair[0] += n
+            pair[1] += 1
+        self.held = {context: tuple(pair) for context, pair in held.items()}
         # What was seen is worked out here once; workers need the counts of the rest only.
-        self.known = {gram: self.apart(gram) for gram in {**self.joint[0], **self.joint[1]}}
-        self.joint = [{}, {}]
+        self.known = {gram: self.apart(gram, joint) for gram in {**joint[0], **joint[1]}}
 
     def shared(self, context, byte):
         """Continuation probability that both classes back off to."""
         chance = 1 / 257
         for cut in range(len(context), -1, -1):
             tail = context[cut:]
-            held = self.held.get(tail)
-            if not held:
+            if tail not in self.held:
                 continue
+            held, seen = self.held[tail]
             own = max(self.before.get(tail + byte, 0) - DISCOUNT, 0)
-            chance = (own + DISCOUNT * self.seen[tail] * chance) / held
+            chance = (own + DISCOUNT * seen * chance) / held
         return chance
 
-    def apart(self, gram):
-        """Difference of the two log-likelihoods of the last byte of `gram` after the others."""
+    def apart(self, gram, joint=({}, {})):
+        """Difference of the two log-likelihoods of the last byte of `gram` after the others.
+
+        `joint` has the counts of grams for each class; what is not in it was not seen.
+        """
         context, byte = gram[:-1], gram[-1:]
-        if context not in self.total[0] and context not in self.total[1]:
+        if context not in self.contexts:
             return 0.0  # both back off, to the same value
-        back, sides = self.shared(context[1:], byte), []
+        back, counts, sides = self.shared(context[1:], byte), self.contexts[context], []
         for side in (0, 1):
-            total = self.total[side].get(context)
-            if total:
-                own = max(self.joint[side].get(gram, 0) - DISCOUNT, 0)
-                sides.append((own + DISCOUNT * self.kinds[side][context] * back) / total)
-            else:
-                sides.append(back)
+            total, kinds = counts[2 * side : 2 * side + 2]
+            own = max(joint[side].get(gram, 0) - DISCOUNT, 0)
+            sides.append((own + DISCOUNT * kinds * back) / total if total else back)
         return math.log(sides[0]) - math.log(sides[1])
 
     def scorer(self):
         """Scores of words: difference of the two log-likelihoods a byte, and in all."""
         known, apart = self.known, self.apart
-        sums = ChainSums(lambda gram: known[gram] if gram in known else apart(gram), 1, self.order)
+        sums = ChainSums(lambda gram: (known[gram] if gram in known else apart(gram),), 1, self.order)
 
         def score(words):
             total = sums(words)[:, 0]

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 # Texts are worked on in pieces of about this many bytes, so that memory does not grow
 # with the batch. A longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -19,6 +19,20 @@ _LOWER[65:91] += 32
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
 _WORD_BASE = np.uint64(0xD1B54A32D192ED03)
 _POWERS = {}
+_STATE = {}
+
+
+def worker_state(owner=None, make=None):
+    """What `owner` keeps in this worker process from task to task, made at first.
+
+    A worker serves many operators one after another; only the last of them keeps
+    anything, so that their caches do not add up. Without an owner all is let go.
+    """
+    if _STATE.get("owner") != owner:
+        _STATE.clear()
+        if owner is not None:
+            _STATE.update(owner=owner, state=make())
+    return _STATE.get("state")
 
 
 def _powers(base, n):
