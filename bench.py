@@ -7,10 +7,12 @@ Names on the command line restrict the run.
 import json
 import os
 import sys
+import tempfile
 import time
 
 from kindred.registry import QUERIES
 from kindred.session import build_session
+from kindred.storage import release_staged
 
 HEADLINE = (
     "dedupe_purchases",
@@ -39,7 +41,12 @@ def main(names):
         "bench",
         f"local[{cpus}]",
         int(cpus) if cpus.isdigit() else 8,
-        {"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        {
+            "spark.driver.memory": "16g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["dedupe_ratings"](spark, folder).write.format("noop").mode("overwrite").save()  # start the JVM
@@ -49,6 +56,7 @@ def main(names):
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
+        release_staged(spark)
     scale = os.path.basename(folder).removeprefix("sf")
     print(
         json.dumps(

@@ -6,7 +6,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from kindred.models.factors import BiasedFactorization
 
 
-def factor_grid(estimator, rank=(10,), max_iter=(10,), reg=(0.05, 0.1)):
+def factor_grid(estimator, rank=(5, 10), max_iter=(5, 10), reg=(0.05, 0.1)):
     """Parameter maps over factors, iterations and regularization."""
     return (
         ParamGridBuilder()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import pearson_from_sums
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, self_join, wide_join
+from kindred.operators.skew import ROWS_PER_SALT, wide_join
 from kindred.storage import materialize
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
@@ -78,6 +78,7 @@ def co_ratings(ratings, pairs, by="item_id"):
 def _eligible_facts(ratings, entity, other, min_support, targets):
     """Ratings of entities that can reach the support, with `t`: is it a target?"""
     facts = ratings.select(F.col(entity).alias("e"), F.col(other).alias("o"), F.col("stars").alias("r"))
+    facts = facts.dropna()  # an unknown rating or id supports nothing, whatever way a pair is summed
     eligible = facts.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support).select("e")
     if targets is None:
         eligible = eligible.withColumn("t", F.lit(True))
@@ -117,11 +118,25 @@ def _add_hot_raters(sums, hot_facts):
     )
 
 
+def _smaller_first(sums):
+    """Pairs whose first side is a target, with the smaller id first and a mark for either side."""
+    swap = F.col("a") > F.col("b")
+    pick = lambda yes, no, name: F.when(swap, yes).otherwise(no).alias(name)
+    true, both = F.lit(True), F.col("tb")
+    return sums.select(
+        pick(F.col("b"), F.col("a"), "a"), pick(F.col("a"), F.col("b"), "b"), pick(both, true, "ta"), pick(true, both, "tb"),
+        "n", pick(F.col("sy"), F.col("sx"), "sx"), pick(F.col("sx"), F.col("sy"), "sy"), "sxy",
+        pick(F.col("syy"), F.col("sxx"), "sxx"), pick(F.col("sxx"), F.col("syy"), "syy"),
+    )
+
+
 def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT_DEGREE, rows_per_salt=ROWS_PER_SALT):
     """Co-rating sums of every pair with at least `min_support` co-raters.
 
     Result: `a < b`, `ta`, `tb` (is the side a target), `n, sx, sy, sxy, sxx, syy`. With
-    `targets`, only pairs with a target on at least one side.
+    `targets`, only pairs with a target on at least one side; the self-join has the
+    targets alone on its left side, so its rows fall with their number. Ratings with a
+    null id or null stars do not count.
 
     All of these prunings keep the result whole:
 
@@ -131,6 +146,8 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
       not among so few, so it is found without them. Their part is then added from one
       short vector per entity, and the square of their degree is never produced.
     * Other raters with many ratings are salted.
+
+    Calling this writes the eligible ratings and counts the join's keys, before any action.
     """
     other = other_id(by)
     facts = materialize(_eligible_facts(ratings, by, other, min_support, targets), "pair-facts")
@@ -147,14 +164,12 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
         hottest = F.broadcast(hottest)  # at most min_support - 1 rows
         light = facts.join(hottest, "o", "left_anti")
         hot_facts = facts.join(hottest, "o", "left_semi")
-    joined = self_join(
-        light,
-        "o",
-        (F.col("e").alias("a"), F.col("r").alias("x"), F.col("t").alias("ta")),
-        (F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb")),
-        rows_per_salt,
-    ).where((F.col("a") < F.col("b")) & (F.col("ta") | F.col("tb")))
-    sums = joined.groupBy("a", "b", "ta", "tb").agg(
+    left = light.where("t").select("o", F.col("e").alias("a"), F.col("r").alias("x"))
+    right = light.select("o", F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb"))
+    # A pair of two targets meets twice and counts once.
+    once = (F.col("a") != F.col("b")) & (~F.col("tb") | (F.col("a") < F.col("b")))
+    joined = wide_join(left, right, "o", rows_per_salt).where(once)
+    sums = joined.groupBy("a", "b", "tb").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("x").alias("sx"),
         F.sum("y").alias("sy"),
@@ -162,6 +177,7 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
         F.sum(F.col("x") * F.col("x")).alias("sxx"),
         F.sum(F.col("y") * F.col("y")).alias("syy"),
     )
+    sums = _smaller_first(sums)
     if hot_facts is not None:
         sums = _add_hot_raters(sums, hot_facts)
     return sums.where(F.col("n") >= min_support)

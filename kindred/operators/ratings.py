@@ -6,8 +6,6 @@ Ratings are rows `(user_id, item_id, stars)`, unique on the two ids.
 from pyspark.sql import functions as F
 
 KEYS = ("user_id", "item_id")
-# Longest list kept in one row by the list operators.
-CHUNK_ROWS = 100_000
 
 
 def other_id(by):
@@ -45,30 +43,24 @@ def item_means(ratings):
 
 
 def _chunked(rows, owner, entry, chunk_rows):
-    """Add `chunk`: 0 for most owners; owners with more rows are split by hash of `entry`."""
-    long_lists = (
-        rows.groupBy(owner)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > chunk_rows)
-        .select(owner, F.ceil(F.col("_n") / chunk_rows).alias("_chunks"))
-    )
-    return rows.join(long_lists, owner, "left").withColumn(
-        "chunk", F.pmod(F.xxhash64(entry), F.coalesce("_chunks", F.lit(1))).cast("int")
-    )
+    """Add `chunk`: an owner of n rows has ceil(n / chunk_rows) of them, dealt out by the md5 of `entry` as text."""
+    sizes = rows.groupBy(owner).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("_chunks"))
+    digest = F.conv(F.substring(F.md5(F.col(entry).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return rows.join(sizes, owner).withColumn("chunk", F.pmod(digest, F.col("_chunks")).cast("int"))
 
 
-def adjacency(ratings, by="user_id", chunk_rows=CHUNK_ROWS):
+def adjacency(ratings, by, chunk_rows):
     """Sorted list of the ids an entity is rated with: `(by, chunk, members)`.
 
-    An entity with at most `chunk_rows` ratings has one row, chunk 0. Larger ones get
-    several rows whose lists are disjoint and together complete.
+    The lists of an entity have `chunk_rows` ids on average, are disjoint and together
+    complete; the caller chooses the length, and the rule is the same at every size.
     """
     other = other_id(by)
     rows = _chunked(ratings.select(by, other), by, other, chunk_rows)
     return rows.groupBy(by, "chunk").agg(F.sort_array(F.collect_list(other)).alias("members"))
 
 
-def rating_vectors(ratings, by="item_id", chunk_rows=CHUNK_ROWS):
+def rating_vectors(ratings, by, chunk_rows):
     """Map from the other id to stars: `(by, chunk, vector)`, chunked like `adjacency`."""
     other = other_id(by)
     rows = _chunked(ratings.select(by, other, "stars"), by, other, chunk_rows)
@@ -77,7 +69,7 @@ def rating_vectors(ratings, by="item_id", chunk_rows=CHUNK_ROWS):
     )
 
 
-def member_sets(members, chunk_rows=CHUNK_ROWS):
+def member_sets(members, chunk_rows):
     """Set of members per item: `(item_id, chunk, members)`, chunked like `adjacency`."""
     rows = _chunked(members.select("item_id", "member_id").distinct(), "item_id", "member_id", chunk_rows)
     return rows.groupBy("item_id", "chunk").agg(F.sort_array(F.collect_list("member_id")).alias("members"))

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 2_000_000
 # Joined rows above which a single key is split over several tasks.
 ROWS_PER_SALT = 10_000_000
-# Most keys that are split. The list is broadcast, so this bounds its size, and every
-# key left out of it holds less than 1/MAX_HOT_KEYS of the weight.
+# Longest list of hot keys that is broadcast; a longer one is joined by a shuffle.
 MAX_HOT_KEYS = 10_000
-# Most tasks of one join, and most lines or columns a key is split into, whatever it produces.
+# Most tasks of one join, and most parts a key is split into, whatever it produces.
 MAX_TASKS = 200_000
-MAX_SIDE = 2_000
+MAX_PARTS = 4_000_000
 
 
 def as_list(on):
@@ -26,9 +25,9 @@ def join_tasks(spark, rows):
 
 
 def self_weights(df, on):
-    """Per key, the rows a self-join produces: the square of its size."""
+    """Per key, the rows of either side and those a self-join produces: the square of its size."""
     count = F.count(F.lit(1)).cast("double")
-    return df.groupBy(*as_list(on)).agg((count * count).alias("_weight"))
+    return df.groupBy(*as_list(on)).agg((count * count).alias("_weight"), count.alias("_l"), count.alias("_r"))
 
 
 def join_weights(left, right, on):
@@ -40,7 +39,8 @@ def join_weights(left, right, on):
     count = F.count(F.lit(1)).cast("double")
     sizes = left.groupBy(*keys).agg(count.alias("_l")).join(right.groupBy(*keys).agg(count.alias("_r")), keys, "full")
     n_left, n_right = F.coalesce("_l", F.lit(0.0)), F.coalesce("_r", F.lit(0.0))
-    return sizes.select(*keys, (n_left * n_right + n_left + n_right).alias("_weight"))
+    weight = (n_left * n_right + n_left + n_right).alias("_weight")
+    return sizes.select(*keys, weight, n_left.alias("_l"), n_right.alias("_r"))
 
 
 def total_and_top(weights):
@@ -49,18 +49,26 @@ def total_and_top(weights):
 
 
 def hot_keys(weights, on, rows_per_salt=ROWS_PER_SALT):
-    """Keys whose weight exceeds `rows_per_salt`, with `_side`, the side of their grid.
+    """All keys whose weight exceeds `rows_per_salt`, with the number of `_parts` that bring each down to it.
 
-    A grid of `_side` times `_side` parts brings each part down to about `rows_per_salt`.
+    The list is marked for broadcast if it is short.
     """
-    keys = as_list(on)
-    side = F.ceil(F.sqrt(F.col("_weight") / rows_per_salt))
-    return (
-        weights.where(F.col("_weight") > rows_per_salt)
-        .orderBy(F.desc("_weight"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.least(side, F.lit(MAX_SIDE)).cast("int").alias("_side"))
-    )
+    parts = F.least(F.ceil(F.col("_weight") / rows_per_salt), F.lit(MAX_PARTS)).cast("int").alias("_parts")
+    sides = [c for c in ("_l", "_r") if c in weights.columns]
+    found = weights.where(F.col("_weight") > rows_per_salt).select(*as_list(on), parts, *sides)
+    return F.broadcast(found) if found.limit(MAX_HOT_KEYS + 1).count() <= MAX_HOT_KEYS else found
+
+
+def _grids(hot, keys):
+    """Lines and columns of each hot key's grid.
+
+    Left rows are copied to every column and right rows to every line, so the longer side
+    gets the more positions.
+    """
+    ratio = F.greatest(F.col("_l"), F.lit(1.0)) / F.greatest(F.col("_r"), F.lit(1.0))
+    lines = F.least(F.greatest(F.ceil(F.sqrt(F.col("_parts") * ratio)), F.lit(1)), F.col("_parts"))
+    sized = hot.withColumn("_lines", lines.cast("int"))
+    return sized.select(*keys, "_lines", F.ceil(F.col("_parts") / F.col("_lines")).cast("int").alias("_columns"))
 
 
 def _on_grid(df, keys, hot, own, other):
@@ -69,12 +77,12 @@ def _on_grid(df, keys, hot, own, other):
     The position comes from the row's own content, so a retried task finds the same one.
     """
     rest = [F.col(c) for c in df.columns if c not in keys] or [F.lit(0)]
-    side = F.coalesce("_side", F.lit(1))
+    length = {"_line": F.coalesce("_lines", F.lit(1)), "_column": F.coalesce("_columns", F.lit(1))}
     return (
         df.join(hot, keys, "left")
-        .withColumn(own, F.pmod(F.xxhash64(*rest), side).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), side - 1)))
-        .drop("_side")
+        .withColumn(own, F.pmod(F.xxhash64(*rest), length[own]).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), length[other] - 1)))
+        .drop("_lines", "_columns")
     )
 
 
@@ -95,7 +103,7 @@ def wide_join(left, right, on, rows_per_salt=ROWS_PER_SALT, weights=None):
     tasks = join_tasks(left.sparkSession, total)
     if top <= rows_per_salt:
         return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
-    hot = F.broadcast(hot_keys(weights, keys, rows_per_salt))  # at most MAX_HOT_KEYS rows
+    hot = _grids(hot_keys(weights, keys, rows_per_salt), keys)
     cell = [*keys, "_line", "_column"]
     lines = _on_grid(left, keys, hot, "_line", "_column").repartition(tasks, *cell)
     columns = _on_grid(right, keys, hot, "_column", "_line").repartition(tasks, *cell)

@@ -26,6 +26,8 @@ purchases AS (
                               ORDER BY l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS rn
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   WHERE rn = 1)"""
+REQUESTS = """
+requests AS (SELECT user_id, item_id FROM purchases UNION SELECT user_id, item_id FROM clicks)"""
 FEATURES = """
 uf AS (SELECT user_id, count(*) AS review_count, avg(stars) AS average_stars FROM ev GROUP BY 1),
 itf AS (SELECT item_id, count(*) AS review_count, avg(stars) AS stars FROM ev GROUP BY 1)"""
@@ -35,7 +37,7 @@ FEATURE_COLUMNS = """
 TOKENS = """
 members AS (
   SELECT DISTINCT doc_id AS item_id, member_id
-  FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS member_id FROM documents)
+  FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS member_id FROM documents)
   WHERE member_id <> ''),
 ids AS (SELECT member_id, row_number() OVER (ORDER BY member_id) - 1 AS idx
         FROM (SELECT DISTINCT member_id FROM members))"""
@@ -90,7 +92,7 @@ def _neighbour_rows(ratings, requests, target, p=""):
   FROM {p}nb)"""
 
 
-def _item_cf(ratings="clicks", requests="purchases", support=30, policy="constant", keep="TRUE", include_self=False):
+def _item_cf(ratings="clicks", requests="requests", support=30, policy="constant", keep="TRUE", include_self=False):
     unknown = {"constant": "3.0", "means": "coalesce(im.item_mean, um.user_mean, 3.0)"}[policy]
     return [
         MEANS.format(ratings),
@@ -113,13 +115,13 @@ def _user_cf(keep="TRUE", support=20):
     return [
         _sums("clicks", "user_id", "item_id", support, "u_"),
         _lists("clicks", "user_id", support, p="u_"),
-        _neighbour_rows("clicks", "purchases", "user_id", "u_"),
+        _neighbour_rows("clicks", "requests", "user_id", "u_"),
         f"""
 ucf AS (
   SELECT q.user_id, q.item_id,
          CASE WHEN um.user_mean IS NOT NULL AND im.item_mean IS NOT NULL
               THEN coalesce(um.user_mean + w.score, im.item_mean) ELSE 3.0 END AS prediction
-  FROM purchases q LEFT JOIN um USING (user_id) LEFT JOIN im USING (item_id)
+  FROM requests q LEFT JOIN um USING (user_id) LEFT JOIN im USING (item_id)
   LEFT JOIN (SELECT k.user_id, k.item_id, sum(k.s * (k.value - v.user_mean)) / sum(k.s) AS score
              FROM u_ranked k JOIN um v ON v.user_id = k.rater WHERE {keep} GROUP BY 1, 2) w
     ON w.user_id = q.user_id AND w.item_id = q.item_id)""",
@@ -134,10 +136,10 @@ bi AS (SELECT item_id, sum(stars - m) / (10.0 + count(*)) AS item_bias FROM clic
 bu AS (SELECT user_id, sum(stars - m - item_bias) / (10.0 + count(*)) AS user_bias
        FROM clicks JOIN bi USING (item_id), mu GROUP BY 1),
 base AS (SELECT q.user_id, q.item_id, m + coalesce(user_bias, 0) + coalesce(item_bias, 0) AS prediction
-         FROM purchases q LEFT JOIN bu USING (user_id) LEFT JOIN bi USING (item_id), mu)"""
+         FROM requests q LEFT JOIN bu USING (user_id) LEFT JOIN bi USING (item_id), mu)"""
 TREE = """
 tree AS (SELECT q.user_id, q.item_id, coalesce(i.stars, 2.5) AS prediction, coalesce(i.review_count, 0) AS reviews
-         FROM purchases q LEFT JOIN itf i USING (item_id))"""
+         FROM requests q LEFT JOIN itf i USING (item_id))"""
 
 
 def _signatures(count=100):
@@ -167,17 +169,26 @@ jac AS (
 exact AS (SELECT item_1, item_2, similarity FROM jac WHERE similarity >= 0.5)"""
 
 
+def _chunks(ratings, owner, entry, lists, length=16):
+    """Lists of an owner, split by the first 32 bits of the md5 of the other id."""
+    return f"""SELECT {owner}, CAST(digest % chunks AS INTEGER) AS chunk, CAST(count(*) AS INTEGER) AS n, {lists}
+  FROM (SELECT *, CAST('0x' || substr(md5(CAST({entry} AS VARCHAR)), 1, 8) AS BIGINT) AS digest FROM {ratings})
+  JOIN (SELECT {owner}, CAST(ceil(count(*) / {length}.0) AS BIGINT) AS chunks FROM {ratings} GROUP BY 1) USING ({owner})
+  GROUP BY 1, 2"""
+
+
 def oracle_queries():
-    clicks, both = _with(CLICKS), _with(CLICKS, PURCHASES)
+    clicks, both = _with(CLICKS), _with(CLICKS, PURCHASES, REQUESTS)
     item_sims = _with(CLICKS, _sums("clicks", "item_id", "user_id", 30))
     pair_rows = "SELECT a AS item_1, b AS item_2, round(s, 6) AS similarity FROM sims"
     item_cf = _item_cf()
     lsh = _with(TOKENS, _signatures(), JACCARD)
     list_text = "string_agg(CAST({0} AS VARCHAR), ',' ORDER BY {0}) AS members"
     errors = "SELECT i.prediction - p.stars AS e FROM icf i JOIN purchases p USING (user_id, item_id)"
-    neighbours = _with(CLICKS, PURCHASES, *item_cf)
-    scores = [CLICKS, PURCHASES, FEATURES, *_item_cf(policy="means"), *_user_cf(), BASELINE, TREE]
-    return {
+    neighbours = _with(CLICKS, PURCHASES, REQUESTS, *item_cf)
+    scores = [CLICKS, PURCHASES, REQUESTS, FEATURES, *_item_cf(policy="means"), *_user_cf(), BASELINE, TREE]
+    blends = _with(*scores) + "SELECT user_id, item_id, CAST(0 AS DOUBLE) AS rest FROM requests"
+    found = {
         "io_ratings": clicks + "SELECT user_id, item_id, stars FROM clicks",
         "io_requests": _with(PURCHASES) + "SELECT user_id, item_id FROM purchases",
         "io_user_features": _with(EVENTS, FEATURES)
@@ -185,8 +196,9 @@ def oracle_queries():
         "io_item_features": _with(EVENTS, FEATURES)
         + "SELECT item_id, review_count, round(stars, 6) AS stars FROM itf",
         "io_scored": _with(CLICKS, PURCHASES, MEANS.format("clicks"))
-        + """SELECT user_id, item_id, round(item_mean, 6) AS prediction, stars, round(item_mean - stars, 6) AS error
-             FROM purchases JOIN im USING (item_id)""",
+        + """SELECT user_id, item_id, round(coalesce(item_mean, 3.0), 6) AS prediction, stars,
+                    round(coalesce(item_mean, 3.0) - stars, 6) AS error
+             FROM purchases LEFT JOIN im USING (item_id)""",
         "io_pairs": item_sims + pair_rows + " WHERE s > 0",
         "dedupe_ratings": clicks + "SELECT user_id, item_id, stars FROM clicks",
         "dedupe_purchases": _with(PURCHASES) + "SELECT user_id, item_id, stars FROM purchases",
@@ -204,31 +216,23 @@ def oracle_queries():
                    FROM (SELECT DISTINCT user_id FROM clicks)) u USING (user_id)
              JOIN (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx
                    FROM (SELECT DISTINCT item_id FROM clicks)) i USING (item_id)""",
-        "member_sets": clicks
-        + f"""SELECT item_id, CAST(0 AS INTEGER) AS chunk, {list_text.format('user_id')},
-                     CAST(count(*) AS INTEGER) AS n FROM clicks GROUP BY 1""",
+        "member_sets": clicks + _chunks("clicks", "item_id", "user_id", list_text.format("user_id")),
         "rating_vectors": clicks
-        + """SELECT item_id, CAST(0 AS INTEGER) AS chunk, CAST(count(*) AS INTEGER) AS n,
-                    string_agg(user_id || ':' || CAST(stars AS INTEGER), ',' ORDER BY user_id) AS vector
-             FROM clicks GROUP BY 1""",
-        "adjacency": clicks
-        + f"""SELECT user_id, CAST(0 AS INTEGER) AS chunk, {list_text.format('item_id')},
-                     CAST(count(*) AS INTEGER) AS n FROM clicks GROUP BY 1""",
-        "adjacency_items": _with(PURCHASES)
-        + f"""SELECT item_id, CAST(0 AS INTEGER) AS chunk, {list_text.format('user_id')},
-                     CAST(count(*) AS INTEGER) AS n FROM purchases GROUP BY 1""",
+        + _chunks("clicks", "item_id", "user_id", "string_agg(user_id || ':' || CAST(stars AS INTEGER), ',' ORDER BY user_id) AS vector"),
+        "adjacency": clicks + _chunks("clicks", "user_id", "item_id", list_text.format("item_id")),
+        "adjacency_items": _with(PURCHASES) + _chunks("purchases", "item_id", "user_id", list_text.format("user_id")),
         "user_means": _with(CLICKS, MEANS.format("clicks"))
         + "SELECT user_id, round(user_mean, 6) AS user_mean, user_n FROM um",
         "item_means": _with(CLICKS, MEANS.format("clicks"))
         + "SELECT item_id, round(item_mean, 6) AS item_mean, item_n FROM im",
         "classify_requests": both
         + """SELECT user_id, item_id, user_id IN (SELECT user_id FROM clicks) AS user_known,
-                    item_id IN (SELECT item_id FROM clicks) AS item_known FROM purchases""",
+                    item_id IN (SELECT item_id FROM clicks) AS item_known FROM requests""",
         "known_semi": both
-        + """SELECT user_id, item_id FROM purchases WHERE user_id IN (SELECT user_id FROM clicks)
+        + """SELECT user_id, item_id FROM requests WHERE user_id IN (SELECT user_id FROM clicks)
              AND item_id IN (SELECT item_id FROM clicks)""",
         "unknown_anti": both
-        + "SELECT user_id, item_id FROM purchases WHERE user_id NOT IN (SELECT user_id FROM clicks)",
+        + "SELECT user_id, item_id FROM requests WHERE user_id NOT IN (SELECT user_id FROM clicks)",
         "co_support_items": item_sims + "SELECT a AS item_1, b AS item_2, n AS common FROM sums",
         "co_ratings": item_sims
         + """SELECT a AS item_1, b AS item_2, count(*) AS common, sum(x.stars * y.stars) AS dot,
@@ -248,14 +252,14 @@ def oracle_queries():
         "equal_similarity_collapse": neighbours
         + "SELECT user_id, item_id, neighbour, round(s, 6) AS similarity, value FROM ranked WHERE equal_rank = 1",
         "item_cf_basic": neighbours + SCORED + "icf",
-        "item_cf_means": _with(CLICKS, PURCHASES, *_item_cf(policy="means")) + SCORED + "icf",
-        "item_cf_topk": _with(CLICKS, PURCHASES, *_item_cf(keep="rank <= 6")) + SCORED + "icf",
-        "item_cf_self": _with(CLICKS, PURCHASES, *_item_cf(include_self=True)) + SCORED + "icf",
-        "item_cf_collapsed": _with(CLICKS, PURCHASES, *_item_cf(keep="equal_rank = 1")) + SCORED + "icf",
-        "item_cf_purchases": _with(CLICKS, PURCHASES, *_item_cf("purchases", "clicks", policy="means"))
+        "item_cf_means": _with(CLICKS, PURCHASES, REQUESTS, *_item_cf(policy="means")) + SCORED + "icf",
+        "item_cf_topk": _with(CLICKS, PURCHASES, REQUESTS, *_item_cf(keep="rank <= 6")) + SCORED + "icf",
+        "item_cf_self": _with(CLICKS, PURCHASES, REQUESTS, *_item_cf(include_self=True)) + SCORED + "icf",
+        "item_cf_collapsed": _with(CLICKS, PURCHASES, REQUESTS, *_item_cf(keep="equal_rank = 1")) + SCORED + "icf",
+        "item_cf_purchases": _with(CLICKS, PURCHASES, REQUESTS, *_item_cf("purchases", "clicks", policy="means"))
         + SCORED + "icf",
-        "user_cf": _with(CLICKS, PURCHASES, MEANS.format("clicks"), *_user_cf()) + SCORED + "ucf",
-        "user_cf_topk": _with(CLICKS, PURCHASES, MEANS.format("clicks"), *_user_cf(keep="k.rank <= 6"))
+        "user_cf": _with(CLICKS, PURCHASES, REQUESTS, MEANS.format("clicks"), *_user_cf()) + SCORED + "ucf",
+        "user_cf_topk": _with(CLICKS, PURCHASES, REQUESTS, MEANS.format("clicks"), *_user_cf(keep="k.rank <= 6"))
         + "SELECT user_id, item_id, round(least(greatest(prediction, 1.0), 5.0), 6) AS prediction FROM ucf",
         "minhash_signatures": lsh + "SELECT item_id, CAST(pos AS INTEGER) AS pos, CAST(value AS BIGINT) AS value FROM sig",
         "lsh_bands": lsh + "SELECT item_id, band, band_key FROM bands",
@@ -276,32 +280,52 @@ def oracle_queries():
                     round(n_found / CAST(n_true AS DOUBLE), 6) AS recall
              FROM (SELECT count(*) AS n_found FROM exact JOIN cand USING (item_1, item_2)),
                   (SELECT count(*) AS n_true FROM exact)""",
-        "features": _with(EVENTS, PURCHASES, FEATURES)
-        + f"""SELECT q.user_id, q.item_id, {FEATURE_COLUMNS} FROM purchases q
+        "features": _with(CLICKS, PURCHASES, REQUESTS, FEATURES)
+        + f"""SELECT q.user_id, q.item_id, {FEATURE_COLUMNS} FROM requests q
               LEFT JOIN uf u USING (user_id) LEFT JOIN itf i USING (item_id)""",
         "features_training": _with(CLICKS, FEATURES)
         + f"""SELECT q.user_id, q.item_id, q.stars, {FEATURE_COLUMNS} FROM clicks q
               LEFT JOIN uf u USING (user_id) LEFT JOIN itf i USING (item_id)""",
-        "bias_baseline": _with(CLICKS, PURCHASES, BASELINE) + SCORED + "base",
+        "bias_baseline": _with(CLICKS, PURCHASES, REQUESTS, BASELINE) + SCORED + "base",
         "align_scores": _with(*scores)
         + """SELECT user_id, item_id, reviews AS item_review_count, round(tree.prediction, 6) AS tree,
                     round(icf.prediction, 6) AS item_cf, round(base.prediction, 6) AS mf
              FROM tree JOIN icf USING (user_id, item_id) JOIN base USING (user_id, item_id)""",
         "blend_two": _with(*scores)
-        + """SELECT user_id, item_id, round(CASE WHEN reviews < 30 THEN 0.5 * t.prediction + 0.5 * icf.prediction
+        + """SELECT user_id, item_id, round(CASE WHEN reviews < 100 THEN 0.5 * t.prediction + 0.5 * icf.prediction
                     ELSE 0.8 * t.prediction + 0.2 * icf.prediction END, 6) AS prediction
              FROM tree t JOIN icf USING (user_id, item_id)""",
         "blend_four": _with(*scores)
-        + """SELECT user_id, item_id, round(CASE WHEN reviews < 30
+        + """SELECT user_id, item_id, round(CASE WHEN reviews < 100
                     THEN 0.7 * t.prediction + 0.05 * icf.prediction + 0.05 * ucf.prediction + 0.2 * base.prediction
                     ELSE 0.8 * t.prediction + 0.05 * icf.prediction + 0.05 * ucf.prediction + 0.1 * base.prediction
                     END, 6) AS prediction
              FROM tree t JOIN icf USING (user_id, item_id) JOIN ucf USING (user_id, item_id)
              JOIN base USING (user_id, item_id)""",
-        "item_cf_rmse": neighbours + f"SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse FROM ({errors})",
+        "item_cf_rmse": neighbours + f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS unmatched, round(sqrt(avg(e * e)), 6) AS rmse FROM ({errors})",
         "error_histogram": neighbours
         + f"""SELECT bin, label, count(e) AS n
               FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)')) v(bin, label)
               LEFT JOIN ({errors}) x ON least(floor(abs(e)), 4) = bin GROUP BY 1, 2""",
+        "io_request_order": _with(PURCHASES)
+        + """SELECT user_id, item_id, row_number() OVER (PARTITION BY item_id ORDER BY user_id DESC) AS place
+             FROM purchases""",
+        "equal_similarity_users": _with(
+            CLICKS, PURCHASES, _sums("purchases", "user_id", "item_id", 3), _lists("purchases", "user_id", 3),
+            _neighbour_rows("purchases", "clicks", "user_id"),
+        )
+        + "SELECT user_id, item_id, neighbour, round(s, 6) AS similarity, value FROM ranked WHERE equal_rank = 1",
+        "mf_cold": _with(CLICKS, PURCHASES, REQUESTS, BASELINE)
+        + """SELECT user_id, item_id, round(least(greatest(prediction, 1.0), 5.0), 6) AS prediction FROM base
+             WHERE user_id NOT IN (SELECT user_id FROM clicks) OR item_id NOT IN (SELECT item_id FROM clicks)""",
+        "hybrid_parts": neighbours + "SELECT user_id, item_id, round(prediction, 6) AS item_cf FROM icf",
+        "ensemble_parts": _with(*scores)
+        + """SELECT user_id, item_id, round(icf.prediction, 6) AS item_cf, round(ucf.prediction, 6) AS user_cf
+             FROM icf JOIN ucf USING (user_id, item_id)""",
+        "hybrid_blend": blends,
+        "ensemble_blend": blends,
     }
+    found["item_pearson_by_parts"] = found["item_pearson"]
+    found["lsh_similar_by_parts"] = found["lsh_similar_items"]
+    return found
 

@@ -3,6 +3,7 @@
 Scores are rounded to 6 decimals; lists and maps come out as text.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.models.baseline import bias_baseline
@@ -16,6 +17,7 @@ from kindred.operators.blend import (
     TWO_MODEL_LOW,
     align_scores,
     switch_blend,
+    weighted_sum,
 )
 from kindred.operators.evaluate import error_histogram, pair_precision_recall, prediction_errors, rmse
 from kindred.operators.features import assemble_features
@@ -36,7 +38,7 @@ from kindred.operators.ratings import (
     user_means,
 )
 from kindred.operators.sets import exact_jaccard_pairs, jaccard
-from kindred.plans.cf import item_cf_predict, item_neighbours, stage_ratings, user_cf_predict
+from kindred.plans.cf import DEFAULT_STARS, item_cf_predict, item_neighbours, similar_neighbours, stage_ratings, user_cf_predict
 from kindred.plans.ensemble import ensemble_predict, evaluate, hybrid_predict
 from kindred.plans.similar_items import lsh_similar_items, member_signatures
 from kindred.sources import tables, text
@@ -46,6 +48,10 @@ ITEM_SUPPORT = 30
 # Users of the click ratings share about 20 items; none share the usual 60.
 USER_SUPPORT = 20
 TOP_K = 6
+# Short, so that most owners have several lists.
+CHUNK = 16
+# Reviews at which the blends switch; items on both sides occur.
+SWITCH = 100
 THRESHOLD = 0.5
 KEYS = ["user_id", "item_id"]
 
@@ -53,8 +59,9 @@ clicks = tables.click_ratings
 purchases = tables.purchase_ratings
 
 
-def purchase_requests(spark, folder):
-    return purchases(spark, folder).select(*KEYS)
+def all_requests(spark, folder):
+    """Pairs of the purchases, mostly of unknown ids, and of the clicks, all of known ones."""
+    return purchases(spark, folder).select(*KEYS).union(clicks(spark, folder).select(*KEYS)).distinct()
 
 
 def click_requests(spark, folder):
@@ -105,13 +112,25 @@ def io_scored(spark, folder):
     truth_path, scored_path = scratch_path(spark, "truth-csv"), scratch_path(spark, "predictions-csv")
     truth = purchases(spark, folder)
     means = item_means(clicks(spark, folder))
-    scored = truth.join(means, "item_id").select(*KEYS, F.col("item_mean").alias("prediction"))
+    prediction = F.coalesce("item_mean", F.lit(DEFAULT_STARS)).alias("prediction")
+    scored = truth.join(means, "item_id", "left").select(*KEYS, prediction)
     text.write_ratings(truth, truth_path)
     text.write_predictions(scored, scored_path, order_by="user_id", spaced_header=True)
     errors = prediction_errors(text.read_predictions(spark, scored_path), text.read_truth(spark, truth_path))
     return rounded(numeric_keys(errors), "prediction", "error")
 
 
+def io_request_order(spark, folder):
+    """Predictions written in the order of the request file: each with the place it has in either file."""
+    requests_path, scored_path = scratch_path(spark, "requests-csv"), scratch_path(spark, "predictions-csv")
+    text.write_ratings(purchases(spark, folder).orderBy("item_id", F.desc("user_id")), requests_path)
+    requests = text.read_requests(spark, requests_path, keep_order=True)
+    text.write_predictions(requests.withColumn("prediction", F.lit(1.0)), scored_path, order_by="request_pos")
+    back = numeric_keys(text.read_requests(spark, scored_path, keep_order=True))
+    order = Window.partitionBy("item_id").orderBy("request_pos")  # the order within an item shows in SQL
+    return back.select(*KEYS, F.row_number().over(order).cast("bigint").alias("place"))
+
+
 def io_pairs(spark, folder):
     path = scratch_path(spark, "pairs-csv")
     pairs = item_pearson(clicks(spark, folder), ITEM_SUPPORT, positive_only=True)
@@ -153,11 +172,11 @@ def encode_decode(spark, folder):
 
 def sets_of_items(spark, folder):
     members = clicks(spark, folder).withColumnRenamed("user_id", "member_id")
-    return as_text(member_sets(members), "members")
+    return as_text(member_sets(members, CHUNK), "members")
 
 
 def vectors(spark, folder):
-    found = rating_vectors(clicks(spark, folder), "item_id")
+    found = rating_vectors(clicks(spark, folder), "item_id", CHUNK)
     entries = F.transform(
         F.array_sort(F.map_entries("vector")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("int"))
     )
@@ -165,11 +184,11 @@ def vectors(spark, folder):
 
 
 def adjacency_of_users(spark, folder):
-    return as_text(adjacency(clicks(spark, folder), "user_id"), "members")
+    return as_text(adjacency(clicks(spark, folder), "user_id", CHUNK), "members")
 
 
 def adjacency_of_items(spark, folder):
-    return as_text(adjacency(purchases(spark, folder), "item_id"), "members")
+    return as_text(adjacency(purchases(spark, folder), "item_id", CHUNK), "members")
 
 
 def means_of_users(spark, folder):
@@ -181,15 +200,15 @@ def means_of_items(spark, folder):
 
 
 def classified(spark, folder):
-    return classify_requests(purchase_requests(spark, folder), clicks(spark, folder))
+    return classify_requests(all_requests(spark, folder), clicks(spark, folder))
 
 
 def known_semi(spark, folder):
-    return known_requests(purchase_requests(spark, folder), clicks(spark, folder))
+    return known_requests(all_requests(spark, folder), clicks(spark, folder))
 
 
 def unknown_anti(spark, folder):
-    return unknown_requests(purchase_requests(spark, folder), clicks(spark, folder), "user_id")
+    return unknown_requests(all_requests(spark, folder), clicks(spark, folder), "user_id")
 
 
 # Pairs.
@@ -215,6 +234,11 @@ def pearson_of_items(spark, folder):
     return rounded(item_pearson(clicks(spark, folder), ITEM_SUPPORT), "similarity")
 
 
+def pearson_of_items_by_parts(spark, folder):
+    """The same, with raters above a low degree kept out of the self-join and keys split into parts."""
+    return rounded(item_pearson(clicks(spark, folder), ITEM_SUPPORT, hot_degree=100, rows_per_salt=20_000), "similarity")
+
+
 def pearson_of_suppliers(spark, folder):
     return rounded(item_pearson(purchases(spark, folder), ITEM_SUPPORT), "similarity")
 
@@ -229,22 +253,30 @@ def reversed_pairs(spark, folder):
 
 
 def top_k_neighbors(spark, folder):
-    rows = item_neighbours(clicks(spark, folder), purchase_requests(spark, folder), ITEM_SUPPORT, top_k=TOP_K)
+    rows = item_neighbours(clicks(spark, folder), all_requests(spark, folder), ITEM_SUPPORT, top_k=TOP_K)
     return rounded(rows, "similarity")
 
 
 def equal_similarity_collapse(spark, folder):
-    ratings, requests = clicks(spark, folder), purchase_requests(spark, folder)
+    ratings, requests = clicks(spark, folder), all_requests(spark, folder)
     rows = collapse_equal_similarity(item_neighbours(ratings, requests, ITEM_SUPPORT))
     return rounded(rows, "similarity")
 
 
+def equal_similarity_users(spark, folder):
+    """Users with few common items often have equal similarities."""
+    ratings = stage_ratings(purchases(spark, folder))
+    known = materialize(known_requests(click_requests(spark, folder), ratings), "known")
+    rows = similar_neighbours(ratings, known, "user_id", 3, collapse=True)
+    return rounded(rows, "similarity")
+
+
 # Collaborative filtering.
 
 
 def item_cf_basic(spark, folder, **options):
     options = {"min_support": ITEM_SUPPORT, **options}
-    scored = item_cf_predict(clicks(spark, folder), purchase_requests(spark, folder), **options)
+    scored = item_cf_predict(clicks(spark, folder), all_requests(spark, folder), **options)
     return rounded(scored, "prediction")
 
 
@@ -272,13 +304,13 @@ def item_cf_purchases(spark, folder):
 
 
 def user_cf(spark, folder):
-    scored = user_cf_predict(clicks(spark, folder), purchase_requests(spark, folder), USER_SUPPORT)
+    scored = user_cf_predict(clicks(spark, folder), all_requests(spark, folder), USER_SUPPORT)
     return rounded(scored, "prediction")
 
 
 def user_cf_topk(spark, folder):
     scored = user_cf_predict(
-        clicks(spark, folder), purchase_requests(spark, folder), USER_SUPPORT, top_k=TOP_K, clip_to=(1, 5)
+        clicks(spark, folder), all_requests(spark, folder), USER_SUPPORT, top_k=TOP_K, clip_to=(1, 5)
     )
     return rounded(scored, "prediction")
 
@@ -326,6 +358,12 @@ def similar_documents(spark, folder):
     return rounded(lsh_similar_items(tables.document_members(spark, folder), threshold=THRESHOLD), "similarity")
 
 
+def similar_documents_by_parts(spark, folder):
+    """The same, with every bucket of more than two documents split by rare members."""
+    found = lsh_similar_items(tables.document_members(spark, folder), threshold=THRESHOLD, hot_bucket=2)
+    return rounded(found, "similarity")
+
+
 def precision_recall(spark, folder):
     members = materialize(tables.document_members(spark, folder), "document-members")
     found = lsh_similar_items(members, threshold=THRESHOLD)
@@ -340,7 +378,7 @@ def _attributes(spark, folder):
 
 
 def request_features(spark, folder):
-    found = assemble_features(purchase_requests(spark, folder), *_attributes(spark, folder))
+    found = assemble_features(all_requests(spark, folder), *_attributes(spark, folder))
     return rounded(found, "user_average_stars", "item_stars")
 
 
@@ -351,12 +389,12 @@ def training_features(spark, folder):
 
 def baseline(spark, folder):
     ratings = stage_ratings(clicks(spark, folder))
-    return rounded(bias_baseline(ratings, purchase_requests(spark, folder)), "prediction")
+    return rounded(bias_baseline(ratings, all_requests(spark, folder)), "prediction")
 
 
 def _scores(spark, folder, models):
     """Scores of deterministic models by name; the item mean stands in for the trees."""
-    ratings, requests = stage_ratings(clicks(spark, folder)), purchase_requests(spark, folder)
+    ratings, requests = stage_ratings(clicks(spark, folder)), all_requests(spark, folder)
     keyed = materialize(assemble_features(requests, *_attributes(spark, folder)), "request-keys")
     pairs = keyed.select(*KEYS)
     makers = {
@@ -371,13 +409,13 @@ def _scores(spark, folder, models):
 
 def blend_two(spark, folder):
     scores = _scores(spark, folder, ("tree", "item_cf"))
-    blended = switch_blend(scores, TWO_MODEL_LOW, TWO_MODEL_HIGH)
+    blended = switch_blend(scores, TWO_MODEL_LOW, TWO_MODEL_HIGH, threshold=SWITCH)
     return rounded(blended.select(*KEYS, "prediction"), "prediction")
 
 
 def blend_four(spark, folder):
     scores = _scores(spark, folder, ("tree", "item_cf", "user_cf", "mf"))
-    blended = switch_blend(scores, FOUR_MODEL_LOW, FOUR_MODEL_HIGH)
+    blended = switch_blend(scores, FOUR_MODEL_LOW, FOUR_MODEL_HIGH, threshold=SWITCH)
     return rounded(blended.select(*KEYS, "prediction"), "prediction")
 
 
@@ -407,7 +445,7 @@ def _training(spark, folder):
 
 def tree_predictions(spark, folder):
     model = gbt_fit(materialize(_training(spark, folder), "training"))
-    requests = assemble_features(purchase_requests(spark, folder), *_attributes(spark, folder))
+    requests = assemble_features(all_requests(spark, folder), *_attributes(spark, folder))
     return gbt_predict(model, requests)
 
 
@@ -416,30 +454,63 @@ def factor_predictions(spark, folder):
     return mf_predict(mf_fit(ratings), click_requests(spark, folder))
 
 
+def factor_cold_starts(spark, folder):
+    """Requests with an id that the factors do not know: the baseline alone, within the scale."""
+    ratings, requests = stage_ratings(clicks(spark, folder)), all_requests(spark, folder)
+    predicted = mf_predict(mf_fit(ratings), requests)
+    unknown = classify_requests(predicted, ratings).where("not (user_known and item_known)")
+    return rounded(unknown.select(*KEYS, "prediction"), "prediction")
+
+
 def tune_mf(spark, folder):
     estimator = BiasedFactorization(maxIter=5)
-    grid = factor_grid(estimator, rank=(4,), max_iter=(5,), reg=(0.1, 1.0))
+    grid = factor_grid(estimator, rank=(2, 4), max_iter=(2, 5), reg=(0.1, 1.0))
     return tuning_report(spark, tune(stage_ratings(clicks(spark, folder)), estimator, grid))
 
 
 def hybrid(spark, folder):
     return hybrid_predict(
-        clicks(spark, folder), purchase_requests(spark, folder), *_attributes(spark, folder), ITEM_SUPPORT
+        clicks(spark, folder), all_requests(spark, folder), *_attributes(spark, folder), ITEM_SUPPORT, SWITCH
     )
 
 
 def ensemble(spark, folder):
     return ensemble_predict(
-        clicks(spark, folder), purchase_requests(spark, folder), *_attributes(spark, folder),
-        ITEM_SUPPORT, USER_SUPPORT,
+        clicks(spark, folder), all_requests(spark, folder), *_attributes(spark, folder),
+        ITEM_SUPPORT, USER_SUPPORT, SWITCH,
     )
 
 
+def _rest_of_blend(spark, folder, predicted, low, high):
+    """What a blend leaves beyond the weighted scores of its models: 0 for every request."""
+    reviews = tables.item_features(spark, folder).select("item_id", "review_count")
+    weighted = F.when(F.coalesce("review_count", F.lit(0)) < SWITCH, weighted_sum(low)).otherwise(weighted_sum(high))
+    rows = predicted.join(reviews, "item_id", "left")
+    return rows.select(*KEYS, F.abs(F.round(F.col("prediction") - weighted, 6)).alias("rest"))
+
+
+def hybrid_parts(spark, folder):
+    return rounded(hybrid(spark, folder).select(*KEYS, "item_cf"), "item_cf")
+
+
+def hybrid_blend(spark, folder):
+    return _rest_of_blend(spark, folder, hybrid(spark, folder), TWO_MODEL_LOW, TWO_MODEL_HIGH)
+
+
+def ensemble_parts(spark, folder):
+    return rounded(ensemble(spark, folder).select(*KEYS, "item_cf", "user_cf"), "item_cf", "user_cf")
+
+
+def ensemble_blend(spark, folder):
+    return _rest_of_blend(spark, folder, ensemble(spark, folder), FOUR_MODEL_LOW, FOUR_MODEL_HIGH)
+
+
 def ensemble_metrics(spark, folder):
     truth = purchases(spark, folder)
     predictions = materialize(ensemble(spark, folder), "ensemble")
     score, histogram = evaluate(predictions, truth)
-    as_row = score.select(F.lit("rmse").alias("metric"), F.col("rmse").alias("value"))
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in ("rmse", "unmatched")]
+    as_row = score.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return as_row.unionByName(histogram.select(F.col("label").alias("metric"), F.col("n").cast("double").alias("value")))
 
 
@@ -450,6 +521,7 @@ QUERIES = {
     "io_item_features": io_item_features,
     "io_scored": io_scored,
     "io_pairs": io_pairs,
+    "io_request_order": io_request_order,
     "dedupe_ratings": clicks,
     "dedupe_purchases": purchases,
     "distinct_users": distinct_users,
@@ -470,11 +542,13 @@ QUERIES = {
     "co_support_items": co_support_items,
     "co_ratings": co_rated_pairs,
     "item_pearson": pearson_of_items,
+    "item_pearson_by_parts": pearson_of_items_by_parts,
     "item_pearson_purchases": pearson_of_suppliers,
     "user_pearson": pearson_of_users,
     "canonical_pairs": reversed_pairs,
     "top_k_neighbors": top_k_neighbors,
     "equal_similarity_collapse": equal_similarity_collapse,
+    "equal_similarity_users": equal_similarity_users,
     "item_cf_basic": item_cf_basic,
     "item_cf_means": item_cf_means,
     "item_cf_topk": item_cf_topk,
@@ -490,6 +564,7 @@ QUERIES = {
     "jaccard": lsh_verified,
     "jaccard_exact": jaccard_exact,
     "lsh_similar_items": similar_documents,
+    "lsh_similar_by_parts": similar_documents_by_parts,
     "pair_precision_recall": precision_recall,
     "features": request_features,
     "features_training": training_features,
@@ -501,7 +576,12 @@ QUERIES = {
     "error_histogram": item_cf_errors,
     "gbt_predict": tree_predictions,
     "mf_predict": factor_predictions,
+    "mf_cold": factor_cold_starts,
     "tune_mf": tune_mf,
+    "hybrid_parts": hybrid_parts,
+    "hybrid_blend": hybrid_blend,
+    "ensemble_parts": ensemble_parts,
+    "ensemble_blend": ensemble_blend,
     "hybrid_predict": hybrid,
     "ensemble_predict": ensemble,
     "ensemble_metrics": ensemble_metrics,

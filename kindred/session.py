@@ -16,14 +16,21 @@ SETTINGS = {
 }
 
 
-def build_session(app_name="kindred", master=None, shuffle_partitions=None, extra=None):
-    """Create (or get) a session with `SETTINGS`; `extra` overrides single entries."""
+def build_session(app_name="kindred", master=None, shuffle_partitions=None, extra=None, initial_partitions=None):
+    """Create (or get) a session with `SETTINGS`; `extra` overrides single entries.
+
+    `initial_partitions` is the number every exchange starts with before adaptive execution
+    merges small partitions. Aggregates behind joins that multiply rows cannot be split
+    later, so on a cluster it should be high, some ten times the cores.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(SETTINGS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -66,11 +66,9 @@ def item_features(spark, folder):
 
 
 def document_members(spark, folder):
-    """Distinct `(item_id, member_id)`: document and lower-case alphanumeric token."""
+    """Distinct `(item_id, member_id)`: document and lower-case token of letters and digits of any script."""
     texts = table(spark, folder, "documents").select("doc_id", "text")
-    context = spark.sparkContext
-    if texts.rdd.getNumPartitions() < context.defaultParallelism:
-        # A few files would leave most cores idle in the costly split below.
-        texts = texts.repartition(context.defaultParallelism, "doc_id")
-    tokens = F.array_distinct(F.split(F.lower("text"), "[^a-z0-9]+"))
+    # A few files would leave most cores idle in the costly split below.
+    texts = texts.repartition("doc_id")
+    tokens = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"))
     return texts.select(F.col("doc_id").alias("item_id"), F.explode(tokens).alias("member_id")).where("member_id <> ''")

@@ -31,7 +31,8 @@ def _plain_csv(spark, path, names, extra=()):
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(found))])
     rows = reader.option("enforceSchema", True).schema(schema).csv(path)
     columns = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
-    return rows.where(F.col("c0") != F.lit(found[0])).select(*columns, *extra)
+    # A blank first field is NULL and no header.
+    return rows.where(~F.col("c0").eqNullSafe(F.lit(found[0]))).select(*columns, *extra)
 
 
 def _number(column, strict):
@@ -43,15 +44,22 @@ def _number(column, strict):
     return F.when(parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
 
+def _id(column, strict):
+    """An id: a blank one fails the query, or with `strict=False` stays NULL."""
+    if not strict:
+        return F.col(column)
+    return F.coalesce(column, F.raise_error(F.lit(f"{column} is missing"))).alias(column)
+
+
 def read_ratings(spark, path, strict=True):
-    """Ratings `(user_id, item_id, stars)`; tolerant mode drops rows without a number."""
+    """Ratings `(user_id, item_id, stars)`; tolerant mode drops rows without a number and keeps blank ids as NULL."""
     rows = _plain_csv(spark, path, ("user_id", "item_id", "raw_stars"))
-    rows = rows.select("user_id", "item_id", _number("raw_stars", strict).alias("stars"))
+    rows = rows.select(_id("user_id", strict), _id("item_id", strict), _number("raw_stars", strict).alias("stars"))
     return rows if strict else rows.where(F.col("stars").isNotNull())
 
 
 def read_requests(spark, path, keep_order=False):
-    """Requested pairs `(user_id, item_id)`; further columns of the file are not read.
+    """Requested pairs `(user_id, item_id)`; further columns of the file are not read, blank ids are NULL.
 
     `keep_order` adds `request_pos`, which sorts the rows like the lines of the file.
     """
@@ -81,7 +89,7 @@ def read_item_features(spark, path, strict=True):
 
 def _read_scored(spark, path, value):
     rows = _plain_csv(spark, path, ("user_id", "item_id", value))
-    return rows.select("user_id", "item_id", _number(value, True).alias(value))
+    return rows.select(_id("user_id", True), _id("item_id", True), _number(value, True).alias(value))
 
 
 def read_truth(spark, path):

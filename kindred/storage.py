@@ -6,12 +6,20 @@ import uuid
 from pyspark.sql import Observation
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Paths staged by this driver, by application.
+_STAGED = {}
 
 
 def checkpoint_root(spark):
-    """Shared folder named by the cluster; a temporary one only where none is set."""
+    """Shared folder named by the cluster; a temporary one only where none is set and the master is local.
+
+    On a cluster a folder of one machine would lose rows, so none is made up there.
+    """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share; the master is {master}")
         root = tempfile.mkdtemp(prefix="kindred-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -19,14 +27,26 @@ def checkpoint_root(spark):
 
 def scratch_path(spark, label):
     """A fresh path below the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_staged(spark):
+    """Delete everything staged so far; frames that read it can no longer be used. Returns how many paths went."""
+    gone = 0
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return gone
 
 
 def materialize(df, label):
     """Write `df` as Parquet in the shared folder and return the table read back.
 
-    Used where a costly frame feeds several branches. The copy survives the loss of
-    executors, prunes columns for each reader, and gives the optimizer its true size.
+    Used where a costly frame feeds several branches, so building such a plan runs jobs.
+    The copy survives the loss of executors, prunes columns for each reader, and gives the
+    optimizer its true size. It stays until `release_staged`.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
