@@ -234,6 +234,7 @@ def links_in_buckets(members, sets, similarity, weight):
     task, which counts what their sets have in common; only links leave it.
     """
     blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    blocks = materialize(blocks, "blocks")  # so that the members of a full bucket need not meet in one task
     placed = members.join(blocks, "bucket").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     cells = placed.select("node", "label", "bucket", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), (F.col("_own") > F.col("_other")).alias("_upper"))
