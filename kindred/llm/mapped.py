@@ -7,6 +7,7 @@ page of a shard is touched once a batch.
 """
 
 import os
+import uuid
 from urllib.parse import urlparse
 
 import numpy as np
@@ -27,7 +28,7 @@ def mapped_folder(uri):
 def write_array(folder, name, values):
     """Store an array; a task that is tried again replaces the file in one step."""
     os.makedirs(folder, exist_ok=True)
-    own = os.path.join(folder, f".{name}-{os.getpid()}-{id(values)}")
+    own = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
     with open(own, "wb") as out:
         np.save(out, values)
     os.replace(own, os.path.join(folder, f"{name}.npy"))
