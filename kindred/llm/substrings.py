@@ -4,10 +4,12 @@ A window of consecutive words whose sequence starts earlier as well is removed.
 first finds the passages that can repeat and where each of their windows comes first:
 every window has an anchor, the gram of fewer words with the smallest hash in it, equal
 windows have equal anchors, and only windows whose anchor occurs twice are counted by
-their own hash. The first places of repeated windows are the reference. It is dealt out
-to shards by its documents, as are the passages that may repeat it; a shard's suffix
-automaton reads these and gives matching statistics, the longest reference that ends at
-each word. What does not match for a whole window, word by word, stays.
+their own hash. The first places of repeated windows are the reference. It is cut into
+cells, a bounded range of the words of one document each, which are dealt out to shards
+together with the passages that may repeat them; a cell that is repeated very often goes
+to several shards, each with a part of these passages. A shard's suffix automaton reads
+its cells and gives matching statistics, the longest reference that ends at each word.
+What does not match for a whole window, word by word, stays.
 """
 
 from hashlib import blake2b
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.automaton import SuffixAutomaton
 from kindred.llm.learn import mapped, narrowed
-from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, mapped_folder, packed, shard_bits, summed, unpacked, write_array
+from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, find, mapped_folder, packed, shard_bits, summed, unpacked, write_array
 from kindred.llm.words import Words, gram_hashes, mix, sliding_argmin, text_pieces, within_rows, worker_state
 from kindred.storage import scratch_path
 
@@ -26,6 +28,12 @@ WINDOW = 20
 ANCHOR = 8
 # Characters of text for each shard of the tables and of the reference, about.
 SHARD_CHARS = 8_000_000
+# First words of windows in one cell of the reference.
+SPAN = 4096
+# Repeated windows of a cell for each shard it goes to.
+HOT = 250_000
+# Rows with one id whose windows may still be dealt out by their places.
+SAME_ID = 64
 # Most digests of passages a task keeps, so that it does not send one again.
 SENT = 500_000
 # Where documents without an id stand: behind all others, as if they were one.
@@ -104,16 +112,34 @@ def earliest(keys, docs, starts, counts):
     return keys[first], docs[first], starts[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def find_places(docs, anchors, window, anchor):
-    """Store the hashes of windows that occur twice, with the place where each comes first."""
+def crowded_ids(docs):
+    """Sorted ids that stand on many rows, and the one for rows without: a cell would hold all their texts."""
+    many = docs.where("doc_id is not null").groupBy("doc_id").count().where(F.col("count") > SAME_ID)
+    return np.unique(np.array([r["doc_id"] for r in many.select("doc_id").collect()] + [NO_ID], dtype=np.int64))
+
+
+def cells_of(hashes, docs, starts, crowded, span):
+    """The cell of each window, by the place where it comes first; windows of crowded ids are cells of their own."""
+    cells = mix(mix(docs.astype(np.uint64)) + (starts // span).astype(np.uint64))
+    return np.where(find(crowded, docs) >= 0, mix(hashes), cells)
+
+
+def find_places(docs, anchors, window, anchor, crowded):
+    """Store the hashes of windows that occur twice, with the place where each comes first.
+
+    Gives this table and the cells that are repeated often: `(cells, shares)`, sorted, with
+    the number of shares each is to be dealt in.
+    """
     folder, bits = anchors.folder, anchors.bits
+    # What windows of few repeats add to a cell is left out of its count: a quarter of HOT at most.
+    span, few = SPAN, max(HOT // SPAN // 4, 1)
 
     def send(held):
         keys, docs, starts, counts = earliest(*(np.concatenate(c) for c in zip(*held)))
         edges = edges_of(keys, bits)
         used = [int(i) for i in np.flatnonzero(np.diff(edges))]
         parts = [slice(edges[i], edges[i + 1]) for i in used]
-        columns = [[keys[p].tobytes() for p in parts], *([packed(c[p]) for p in parts] for c in (docs, starts, np.minimum(counts, 2)))]
+        columns = [[keys[p].tobytes() for p in parts], *([packed(c[p]) for p in parts] for c in (docs, starts, counts))]
         return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], schema=_PLACE_ROWS)
 
     def gather(batches):
@@ -134,48 +160,62 @@ def find_places(docs, anchors, window, anchor):
         keys, docs, starts, counts = earliest(keys, *columns)
         for name, values in (("windows", keys), ("docs", docs), ("starts", starts)):
             write_array(folder, f"{name}-{key[0].as_py()}", values[counts > 1])
-        return pa.table({"n": [int((counts > 1).sum())]})
+        often = (counts > few) & (find(crowded, docs) < 0)
+        cells, counts = summed(cells_of(keys[often], docs[often], starts[often], crowded, span), counts[often])
+        return pa.table({"cell": cells.view(np.int64), "n": counts})
 
     rows = docs.mapInArrow(gather, "shard int, keys binary, docs binary, starts binary, counts binary")
-    rows.groupBy("shard").applyInArrow(store, "n bigint").agg(F.sum("n")).collect()
-    return Shards(folder, bits, ("windows", "docs", "starts"))
+    counted = rows.groupBy("shard").applyInArrow(store, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    often = counted.where(F.col("n") > HOT).collect()
+    cells = np.array([r["cell"] for r in often], dtype=np.int64).view(np.uint64)
+    shares = np.array([-(-r["n"] // HOT) for r in often], dtype=np.int64)
+    order = np.argsort(cells)
+    return Shards(folder, bits, ("windows", "docs", "starts")), (cells[order], shares[order])
 
 
 def look_at(ids, windows, anchors, places):
-    """Keep the repeated windows of a piece; gives their hashes, the documents they come first in, and whether that is here."""
+    """Keep the repeated windows of a piece; gives their hashes, the documents and places they come first in, and whether that is here."""
     hashes = windows.narrow(anchors.look_up(windows.anchor_hashes)[0])
     found, (docs, starts) = places.look_up(hashes)
     windows.starts = windows.starts[found]
     docs, starts = docs[found], starts[found]
     own_docs, own_starts = windows.places(ids)
-    return hashes[found], docs, (docs == own_docs) & (starts == own_starts)
+    return hashes[found], docs, starts, (docs == own_docs) & (starts == own_starts)
 
 
-def passages(docs, anchors, places, window, anchor):
-    """`(shard, reference, words)`: stretches of windows that come first, and of later ones, by the shard of the first.
+def passages(docs, anchors, places, window, anchor, crowded, hot):
+    """`(shard, reference, words)`: stretches of windows that come first, and of later ones, by the cell of the first.
 
-    A stretch that a task meets several times is sent once.
+    A cell of `hot` goes to a shard for each of its shares, and every later stretch to one
+    of them, by its words. A stretch that a task meets several times is sent once.
     """
-    bits = anchors.bits
+    bits, span = anchors.bits, SPAN
+
+    def shard_of(cell, share=0):
+        value = mix(np.array([cell + share * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64))[0]
+        return int(value) >> 64 - bits if bits else 0
 
     def work(batches):
         sent = set()
         for ids, windows in _batches(batches, window, anchor):
-            _, firsts, here = look_at(ids, windows, anchors, places)
-            shards = (mix(firsts.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(firsts), dtype=np.int64)
+            hashes, firsts, at, here = look_at(ids, windows, anchors, places)
+            cells = cells_of(hashes, firsts, at, crowded, span)
+            place = find(hot[0], cells)
+            shares = np.where(place >= 0, hot[1][place], 1) if len(hot[0]) else np.ones(len(cells), dtype=np.int64)
             starts, words = windows.starts, windows.words
             row = np.searchsorted(words.first, starts, side="right")
-            new = (np.diff(starts) != 1) | (np.diff(shards) != 0) | (np.diff(here.astype(np.int8)) != 0) | (np.diff(row) != 0)
+            new = (np.diff(starts) != 1) | (cells[1:] != cells[:-1]) | (np.diff(here.astype(np.int8)) != 0) | (np.diff(row) != 0)
             begin = np.flatnonzero(np.concatenate([[True], new])) if len(starts) else np.zeros(0, dtype=np.int64)
             stop = np.append(begin[1:], len(starts)) - 1 if len(begin) else begin
             rows = []
             for a, b in zip(begin.tolist(), stop.tolist()):
                 stretch = words.data[words.starts[starts[a]] : words.ends[starts[b] + window - 1]].tobytes()
                 # Blanks may differ between copies; words alone count.
-                found = (int(shards[a]), bool(here[a]), b" ".join(stretch.split()))
-                if (key := blake2b(found[2], digest_size=16, key=b"%d %d" % found[:2]).digest()) not in sent:
+                stretch, cell, first, n = b" ".join(stretch.split()), int(cells[a]), bool(here[a]), int(shares[a])
+                if (key := blake2b(stretch, digest_size=16, key=b"%d %d" % (cell, first)).digest()) not in sent:
                     sent.add(key)
-                    rows.append(found)
+                    own = range(n) if first else [int.from_bytes(key[:8]) % n]
+                    rows += [(shard, first, stretch) for shard in sorted({shard_of(cell, i) for i in own})]
             if len(sent) > SENT:
                 sent.clear()
             if rows:
@@ -252,8 +292,9 @@ def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SH
     chars = docs.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0)).alias("n")).first()["n"]
     bits = shard_bits(chars, shard_chars)
     anchors = find_anchors(docs, folder, bits, window, anchor)
-    places = find_places(docs, anchors, window, anchor)
-    wrong = unmatched(passages(docs, anchors, places, window, anchor), folder, bits, window)
+    crowded = crowded_ids(docs)
+    places, hot = find_places(docs, anchors, window, anchor, crowded)
+    wrong = unmatched(passages(docs, anchors, places, window, anchor, crowded, hot), folder, bits, window)
 
     def work(batches):
         for batch in batches:
@@ -262,7 +303,7 @@ def drop_repeats(docs, window=WINDOW, anchor=ANCHOR, folder=None, shard_chars=SH
             for row, data, bounds in text_pieces(batch.column("text")):
                 windows = Windows(data, bounds, window, anchor)
                 words = windows.words
-                hashes, _, here = look_at(ids[row : row + len(bounds) - 1], windows, anchors, places)
+                hashes, _, _, here = look_at(ids[row : row + len(bounds) - 1], windows, anchors, places)
                 later = ~here & ~wrong.look_up(hashes)[0]
                 cover = np.zeros(len(words) + 1, dtype=np.int32)
                 np.add.at(cover, windows.starts[later], 1)
