@@ -7,9 +7,11 @@ all components have. Two documents agree in a component with the probability Jac
 similarity of their weights, which is the plain Jaccard similarity for equal weights.
 
 Documents that share a band of components are compared exactly. Within a bucket all are
-first compared with one of them, in a few rounds with another one each; after that only
-documents that are not yet in one class are compared with each other, in blocks. So a group
-of near copies costs a few comparisons a member.
+first compared with one of them, in a few rounds with another one each, at last with the one
+that shares most buckets with others, as what the others are copies of does. After that the
+documents outside the largest class of a bucket are compared with all of other classes, in
+blocks; the largest class is not compared with itself. So a group of near copies costs a few
+comparisons a member, and as many more as there are members it does not link.
 """
 
 import numpy as np
@@ -209,6 +211,13 @@ def _mixed(shared, labels):
     return materialize(labelled.join(mixed.select("bucket"), "bucket").select("bucket", "node", "size", "label"), "mixed")
 
 
+def _crowded(members):
+    """`members` with `_near`, how many members there are in all buckets of the node."""
+    full = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")), "full")
+    near = members.join(full, "bucket").groupBy("node").agg(F.sum("_n").alias("_near"))
+    return members.join(near, "node")
+
+
 def overlaps(left, right):
     """How many hashes each of the sorted arrays `left` shares with each of `right`."""
     common = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
@@ -227,17 +236,30 @@ def overlaps(left, right):
     return result
 
 
+def block_pairs(members):
+    """`(node, label, bucket, _low, _high, _upper)`: members of each bucket, for every two blocks that are to be compared.
+
+    The blocks of a bucket's largest class come behind those of all other members, and only
+    meet these. In the pair of blocks `_low, _high` a member lies in the higher if `_upper`.
+    """
+    classes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = classes.groupBy("bucket").agg(F.sum("_n").alias("_all"), F.max(F.struct("_n", "label")).alias("_top"))
+    in_blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    blocks = blocks.select("bucket", F.col("_top.label").alias("_most"), in_blocks(F.col("_all") - F.col("_top._n")).alias("_rest"), in_blocks(F.col("_top._n")).alias("_blocks"))
+    blocks = materialize(blocks, "blocks")  # so that the members of a full bucket need not meet in one task
+    top, place = F.col("label") == F.col("_most"), lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    placed = members.join(blocks, "bucket").withColumn("_own", F.when(top, F.col("_rest") + place(F.col("_blocks"))).otherwise(place(F.col("_rest"))))
+    met = F.when(top, F.col("_rest")).otherwise(F.col("_rest") + F.col("_blocks"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), met - 1)))
+    return placed.select("node", "label", "bucket", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), (F.col("_own") > F.col("_other")).alias("_upper"))
+
+
 def links_in_buckets(members, sets, similarity, weight):
     """Links between members of different classes that share a bucket, written.
 
-    A bucket is cut into blocks of bounded size, and every two of its blocks meet in one
-    task, which counts what their sets have in common; only links leave it.
+    A bucket is cut into blocks of bounded size, and two of its blocks meet in one task,
+    which counts what their sets have in common; only links leave it.
     """
-    blocks = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
-    blocks = materialize(blocks, "blocks")  # so that the members of a full bucket need not meet in one task
-    placed = members.join(blocks, "bucket").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    cells = placed.select("node", "label", "bucket", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), (F.col("_own") > F.col("_other")).alias("_upper"))
 
     def compare(key, rows):
         same = key[1].as_py() == key[2].as_py()
@@ -263,7 +285,7 @@ def links_in_buckets(members, sets, similarity, weight):
 
     if weight == "set":
         sets = sets.withColumn("counts", F.lit(None).cast("binary"))
-    grouped = cells.join(sets, "node").groupBy("bucket", "_low", "_high")
+    grouped = block_pairs(members).join(sets, "node").groupBy("bucket", "_low", "_high")
     return materialize(grouped.applyInArrow(compare, "a bigint, b bigint, similarity double").distinct(), "links")
 
 
@@ -271,9 +293,10 @@ def linked_classes(docs, heads, similarity, shingle, weight):
     """`(node, label)` of the heads that share a class with another, by links between different texts.
 
     In each round the members of a bucket are compared with one of them, the same in all
-    buckets of a group: the one whose hash for that round is the smallest. Buckets whose
-    members are all in one class are done. After the rounds, the members of the other
-    buckets are compared with each other where their classes differ.
+    buckets of a group: the one whose hash for that round is the smallest, and in the last
+    round the one with most members in its buckets. Buckets whose members are all in one
+    class are done. After the rounds, the members of the other buckets are compared with
+    each other where their classes differ.
     """
     buckets = heads.select("node", "size", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
@@ -283,9 +306,10 @@ def linked_classes(docs, heads, similarity, shingle, weight):
     fits = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) if weight == "set" else F.lit(True)
     members = materialize(shared.withColumn("label", F.col("node")), "mixed")
     tried, links = None, None
-    for turn in range(PIVOT_ROUNDS):
-        pivot = F.struct(F.xxhash64("node", F.lit(turn)), "node", "size", "label")
-        pivots = members.groupBy("bucket").agg(F.min(pivot).alias("p")).select(
+    for turn in range(PIVOT_ROUNDS + 1):
+        ranked = _crowded(members) if turn == PIVOT_ROUNDS else members.withColumn("_near", F.lit(0))
+        pivot = F.struct(-F.col("_near"), F.xxhash64("node", F.lit(turn)), "node", "size", "label")
+        pivots = ranked.groupBy("bucket").agg(F.min(pivot).alias("p")).select(
             "bucket", F.col("p.node").alias("_pivot"), F.col("p.size").alias("_size"), F.col("p.label").alias("_label")
         )
         star = members.join(materialize(pivots, "pivots"), "bucket").where(F.col("label") != F.col("_label"))
