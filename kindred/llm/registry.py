@@ -6,7 +6,7 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
-from kindred.llm import rollup, substrings, topk
+from kindred.llm import lines, rollup, substrings, topk
 from kindred.llm.curves import nearest
 from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
@@ -74,6 +74,10 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_line_dedup(spark, folder):
+    return lines.digests(lines.kept_texts(lines.keep_bitmaps(table(spark, folder, "documents"), ("doc_id", "text"))))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op13_line_dedup": op13_line_dedup,
 }
 
-ORACLE_SQL = {"op7_exact_top_k": topk.SQL, "op9_token_counts": rollup.SQL}
+ORACLE_SQL = {"op7_exact_top_k": topk.SQL, "op9_token_counts": rollup.SQL, "op13_line_dedup": lines.SQL}
