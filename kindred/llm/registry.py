@@ -6,7 +6,7 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
-from kindred.llm import lines, rollup, substrings, topk
+from kindred.llm import alignment, lines, rollup, substrings, topk
 from kindred.llm.curves import nearest
 from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
@@ -74,6 +74,13 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_cross_tokenizer(spark, folder):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as model:
+        pieces = model.read()
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return alignment.align(table(spark, folder, "documents"), tokenizer, pieces)[0]
+
+
 def op13_line_dedup(spark, folder):
     return lines.digests(lines.kept_texts(lines.keep_bitmaps(table(spark, folder, "documents"), ("doc_id", "text"))))
 
@@ -89,6 +96,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_line_dedup": op13_line_dedup,
 }
 
