@@ -6,7 +6,7 @@ import pathlib
 import public_tokenizers
 
 from kindred.llm.bytebpe import digests, read_ranks, read_tokenizer, round_trip, tokenizer_from_ranks
-from kindred.llm import alignment, lines, rollup, substrings, topk
+from kindred.llm import alignment, lines, prefixes, rollup, substrings, topk
 from kindred.llm.curves import nearest
 from kindred.llm.kneser_ney import language_model_scores
 from kindred.llm.packing import pack
@@ -74,6 +74,10 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_prefix_trie(spark, folder):
+    return prefixes.rebuilt_trie(table(spark, folder, "conversations"))
+
+
 def op12_cross_tokenizer(spark, folder):
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as model:
         pieces = model.read()
@@ -96,8 +100,14 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_line_dedup": op13_line_dedup,
 }
 
-ORACLE_SQL = {"op7_exact_top_k": topk.SQL, "op9_token_counts": rollup.SQL, "op13_line_dedup": lines.SQL}
+ORACLE_SQL = {
+    "op7_exact_top_k": topk.SQL,
+    "op9_token_counts": rollup.SQL,
+    "op11_prefix_trie": prefixes.SQL,
+    "op13_line_dedup": lines.SQL,
+}
