@@ -3,15 +3,19 @@
 Pairs come out once, smaller id first. Ratings must be unique on (user, item).
 """
 
+import math
+
 from pyspark.sql import functions as F
 
 from kindred.functions import pearson_from_sums
 from kindred.operators.ratings import other_id
-from kindred.operators.skew import ROWS_PER_SALT, wide_join
-from kindred.storage import materialize
+from kindred.operators.skew import ROWS_PER_SALT, ROWS_PER_TASK, join_tasks, wide_join
+from kindred.storage import materialize, materialize_observed
 
 # Degree above which one of the top raters leaves the self-join, see `pair_sums`.
 HOT_DEGREE = 3_000
+# Most blocks of entities a self-join is cut into.
+MAX_BLOCKS = 4_000
 
 
 def canonical_pairs(pairs, first, second):
@@ -21,19 +25,24 @@ def canonical_pairs(pairs, first, second):
     return pairs.select(low.alias(first), high.alias(second), *rest)
 
 
+def _sized(pairs, facts):
+    """Pairs with the numbers of members of both sides; sides without any are dropped."""
+    sizes = facts.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.join(sizes.select(F.col("e").alias("a"), F.col("n").alias("n_a")), "a").join(
+        sizes.select(F.col("e").alias("b"), F.col("n").alias("n_b")), "b"
+    )
+
+
 def shared_members(pairs, facts, keep=None, keep_empty=False, rows_per_salt=ROWS_PER_SALT):
     """Rows `(a, b, n_a, n_b, o, x, y)` for each `o` that both sides of a demanded pair hold.
 
-    `pairs` has columns `a, b`; `facts` has `e, o, r`, unique on `(e, o)`. Each pair reads
-    the members of its smaller side and looks them up in the larger one, so a side with
-    very many members is walked only by sides of its own size. `keep` drops pairs by the
-    sizes `n_a`, `n_b` before that. With `keep_empty` the members missing on the other
-    side stay, with NULL in the value of that side.
+    `pairs` has columns `a, b`, and `n_a, n_b` if they are known; `facts` has `e, o, r`,
+    unique on `(e, o)`. Each pair reads the members of its smaller side and looks them up
+    in the larger one, so a side with very many members is walked only by sides of its own
+    size. `keep` drops pairs by the sizes `n_a`, `n_b` before that. With `keep_empty` the
+    members missing on the other side stay, with NULL in the value of that side.
     """
-    sizes = facts.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
-    sized = pairs.join(sizes.select(F.col("e").alias("a"), F.col("n").alias("n_a")), "a").join(
-        sizes.select(F.col("e").alias("b"), F.col("n").alias("n_b")), "b"
-    )
+    sized = pairs if "n_a" in pairs.columns else _sized(pairs, facts)
     if keep is not None:
         sized = sized.where(keep)
     swap = F.col("n_a") > F.col("n_b")
@@ -130,13 +139,127 @@ def _smaller_first(sums):
     )
 
 
-def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT_DEGREE, rows_per_salt=ROWS_PER_SALT):
+def _six_sums(rows, *keys):
+    """The sums that correlations are made of."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("x").alias("sx"),
+        F.sum("y").alias("sy"),
+        F.sum(F.col("x") * F.col("y")).alias("sxy"),
+        F.sum(F.col("x") * F.col("x")).alias("sxx"),
+        F.sum(F.col("y") * F.col("y")).alias("syy"),
+    )
+
+
+def _degrees(facts):
+    """Per rater: entities, targets among them, and the pairs it makes, each pair of two targets once."""
+    sizes = facts.groupBy("o").agg(F.count(F.lit(1)).cast("double").alias("_r"), F.count_if("t").cast("double").alias("_l"))
+    made = F.col("_l") * (F.col("_r") - F.col("_l")) + F.col("_l") * (F.col("_l") - 1) / 2
+    return sizes.withColumns({"_weight": F.col("_l") * F.col("_r") + F.col("_l") + F.col("_r"), "_made": made})
+
+
+def _measured(degrees, hot_degree):
+    """One row: rows that are read and made, the largest weight, and the number of hot raters."""
+    sums = [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("_weight", "_made", "_r", "_l")]
+    return degrees.agg(*sums, F.max("_weight").alias("top"), F.count_if(F.col("_r") > hot_degree).alias("hot")).first()
+
+
+def blocks_for(spark, seen, pairs):
+    """Blocks of entities for a self-join, or 0 if its partial sums are the smaller shuffle.
+
+    Joined by raters, a task makes partial sums of about all pairs, so as many rows as
+    tasks times `pairs` are shuffled. Joined by pairs of blocks, the ratings are copied to
+    each block instead, and what a task sums up is final.
+    """
+    tasks = join_tasks(spark, seen["_made"])
+    blocks = min(MAX_BLOCKS, math.ceil(math.sqrt(2 * tasks)))
+    partial = min(seen["_made"], tasks * min(ROWS_PER_TASK, pairs))
+    return blocks if (seen["_r"] + seen["_l"]) / 2 * (blocks + 1) < partial else 0
+
+
+def _sums_in_blocks(light, blocks, all_targets):
+    """Sums of all pairs with a target, each in the one cell of blocks that its sides fall into.
+
+    Ratings are dealt out by cell alone, which serves the lists of each rater and the sums
+    as well: one shuffle. A target on the right meets the blocks up to its own, so a pair
+    of targets is made once; any other entity meets all of them. A list holds what one
+    rater has in one block.
+    """
+    placed = light.withColumn("k", F.pmod(F.xxhash64("e"), F.lit(blocks)).cast("int"))
+    last = F.lit(blocks - 1)
+    # With targets alone nothing on the right lies in a block before that on the left.
+    from_block = F.col("k") if all_targets else F.lit(0)
+    entry = F.struct(F.col("e"), F.col("r"), F.col("t"))
+    sides = {
+        "left": (placed.where("t"), F.sequence(from_block, last), F.col("k") * blocks + F.col("other"), F.col("k") < F.col("other")),
+        "right": (
+            placed, F.sequence(F.lit(0), F.when(F.col("t"), F.col("k")).otherwise(last)),
+            F.col("other") * blocks + F.col("k"), F.col("other") < F.col("k"),
+        ),
+    }
+    copies = [
+        rows.withColumn("other", F.explode(others)).select(
+            cell.alias("cell"), apart.alias("apart"), "o", F.lit(side == "left").alias("is_left"), entry.alias("entry")
+        )
+        for side, (rows, others, cell, apart) in sides.items()
+    ]
+    cells = blocks * (blocks + 1) // 2 if all_targets else blocks * blocks
+    dealt = copies[0].unionByName(copies[1]).repartition(cells, "cell")
+    lists = dealt.groupBy("cell", "apart", "o").agg(
+        *(F.collect_list(F.when(F.col("is_left") == left, F.col("entry"))).alias(name) for name, left in (("la", True), ("lb", False)))
+    )
+    met = lists.where((F.size("la") > 0) & (F.size("lb") > 0)).withColumn("p", F.explode("la")).drop("la")
+    met = met.withColumn("q", F.explode("lb")).select(
+        "cell", "apart", F.col("p.e").alias("a"), F.col("q.e").alias("b"), F.col("q.t").alias("tb"), F.col("p.r").alias("x"), F.col("q.r").alias("y")
+    )
+    once = ~F.col("tb") | F.col("apart") | (F.col("a") < F.col("b"))
+    return _six_sums(met.where(once & (F.col("a") != F.col("b"))), "cell", "a", "b", "tb").drop("cell")
+
+
+def _sums_by_raters(light, degrees, seen, all_targets, rows_per_salt):
+    """The same sums from a join by raters, partial ones combined before they are shuffled."""
+    left = light.where("t").select("o", F.col("e").alias("a"), F.col("r").alias("x"))
+    right = light.select("o", F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb"))
+    met = wide_join(left, right, "o", rows_per_salt, degrees.drop("_made"), (seen["_weight"], seen["top"] or 0.0))
+    # A pair of two targets meets twice and counts once.
+    once = F.col("a") < F.col("b")
+    return _six_sums(met.where(once if all_targets else once | (~F.col("tb") & (F.col("a") != F.col("b")))), "a", "b", "tb")
+
+
+def demanded_pairs(requests, facts, by, most):
+    """Pairs `(a, b, n_a, n_b, ta, tb)` of a requested target and what its context holds, and the rows it takes to sum them.
+
+    A request asks only for the neighbours its context has rated. Gives `(None, rows)` as
+    soon as finding and walking these pairs comes to more than `most` rows.
+    """
+    asked = requests.select(F.col(by).alias("t"), F.col(other_id(by)).alias("o")).dropna().distinct()
+    held = facts.groupBy("o").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = asked.groupBy("o").agg(F.count(F.lit(1)).alias("q")).join(held, "o").agg(F.sum(F.col("q") * F.col("n"))).first()[0] or 0.0
+    if rows > most:
+        return None, rows
+    met = wide_join(asked, facts.select("o", "e"), "o").where("t <> e")
+    sides = met.select(F.least("t", "e").alias("a"), F.greatest("t", "e").alias("b"), "t")
+    pairs = sides.groupBy("a", "b").agg(F.max(F.col("t") == F.col("a")).alias("ta"), F.max(F.col("t") == F.col("b")).alias("tb"))
+    pairs, seen = materialize_observed(_sized(pairs, facts), "demanded-pairs", walk=F.sum(F.least("n_a", "n_b")))
+    rows += seen["walk"] or 0
+    return (pairs if rows <= most else None), rows
+
+
+def pair_sums(
+    ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT_DEGREE, rows_per_salt=ROWS_PER_SALT, requests=None, blocks=None
+):
     """Co-rating sums of every pair with at least `min_support` co-raters.
 
     Result: `a < b`, `ta`, `tb` (is the side a target), `n, sx, sy, sxy, sxx, syy`. With
     `targets`, only pairs with a target on at least one side; the self-join has the
-    targets alone on its left side, so its rows fall with their number. Ratings with a
-    null id or null stars do not count.
+    targets alone on its left side, so its rows fall with their number. With `requests`,
+    rows of both ids, their ids on the `by` side are the targets, and pairs that no
+    request asks for may be missing. Ratings with a null id or null stars do not count.
+
+    Rows are counted first; then the cheapest of three ways is taken, each of which gives
+    the whole result: demanded pairs one by one, a join by raters whose partial sums are
+    shuffled, or a join by pairs of blocks of entities, whose ratings are copied instead.
+    `blocks` sets their number, 0 for the join by raters.
 
     All of these prunings keep the result whole:
 
@@ -145,38 +268,38 @@ def pair_sums(ratings, by="item_id", min_support=1, targets=None, hot_degree=HOT
       they exceed `hot_degree`. A pair with full support has at least one rater who is
       not among so few, so it is found without them. Their part is then added from one
       short vector per entity, and the square of their degree is never produced.
-    * Other raters with many ratings are salted.
+    * Other raters with many ratings are salted, or spread over the cells of blocks.
 
     Calling this writes the eligible ratings and counts the join's keys, before any action.
     """
-    other = other_id(by)
-    facts = materialize(_eligible_facts(ratings, by, other, min_support, targets), "pair-facts")
-    light, hot_facts = facts, None
-    hottest = (
-        facts.groupBy("o")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_degree)
-        .orderBy(F.desc("n"), "o")
-        .limit(min_support - 1)
-        .select("o")
+    if requests is not None:
+        targets = requests.select(by)
+    facts, entities = materialize_observed(
+        _eligible_facts(ratings, by, other_id(by), min_support, targets), "pair-facts",
+        all=F.approx_count_distinct("e"), targets=F.approx_count_distinct(F.when(F.col("t"), F.col("e"))),
     )
-    if min_support > 1 and not hottest.isEmpty():
+    degrees = _degrees(facts)
+    seen = _measured(degrees, hot_degree)
+    if requests is not None:
+        pairs, _ = demanded_pairs(requests, facts, by, seen["_made"])
+        if pairs is not None:
+            sums = _six_sums(shared_members(pairs.select("a", "b", "n_a", "n_b"), facts.select("e", "o", "r")), "a", "b")
+            return sums.where(F.col("n") >= min_support).join(pairs.select("a", "b", "ta", "tb"), ["a", "b"])
+    light, hot_facts = facts, None
+    if min_support > 1 and seen["hot"]:
+        hottest = degrees.where(F.col("_r") > hot_degree).orderBy(F.desc("_r"), "o").limit(min_support - 1).select("o")
         hottest = F.broadcast(hottest)  # at most min_support - 1 rows
         light = facts.join(hottest, "o", "left_anti")
         hot_facts = facts.join(hottest, "o", "left_semi")
-    left = light.where("t").select("o", F.col("e").alias("a"), F.col("r").alias("x"))
-    right = light.select("o", F.col("e").alias("b"), F.col("r").alias("y"), F.col("t").alias("tb"))
-    # A pair of two targets meets twice and counts once.
-    once = (F.col("a") != F.col("b")) & (~F.col("tb") | (F.col("a") < F.col("b")))
-    joined = wide_join(left, right, "o", rows_per_salt).where(once)
-    sums = joined.groupBy("a", "b", "tb").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("x").alias("sx"),
-        F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("y")).alias("sxy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"),
-        F.sum(F.col("y") * F.col("y")).alias("syy"),
-    )
+        degrees = degrees.join(hottest, "o", "left_anti")
+        seen = _measured(degrees, hot_degree)
+    if blocks is None:
+        pairs = entities["all"] * entities["targets"] / (2 if targets is None else 1)
+        blocks = blocks_for(ratings.sparkSession, seen, pairs)
+    if blocks:
+        sums = _sums_in_blocks(light, blocks, targets is None)
+    else:
+        sums = _sums_by_raters(light, degrees, seen, targets is None, rows_per_salt)
     sums = _smaller_first(sums)
     if hot_facts is not None:
         sums = _add_hot_raters(sums, hot_facts)
@@ -203,7 +326,10 @@ def user_pearson(ratings, min_support=60, positive_only=False, targets=None, **t
 
 
 def neighbour_lists(ratings, by, min_support, targets=None, include_self=False, **tuning):
-    """Positive similarities seen from each target: `(target, neighbour, similarity)`."""
+    """Positive similarities seen from each target: `(target, neighbour, similarity)`.
+
+    With `requests=` in place of `targets`, the neighbours that a request can use.
+    """
     pairs = _pearson(ratings, by, min_support, True, targets, **tuning)
     sides = F.array(
         F.struct(F.col("a").alias("target"), F.col("b").alias("neighbour"), F.col("ta").alias("wanted")),
@@ -221,6 +347,8 @@ def neighbour_lists(ratings, by, min_support, targets=None, include_self=False,
         F.count(F.lit(1)).alias("n"), F.sum("stars").alias("sx"), F.sum(F.col("stars") * F.col("stars")).alias("sxx")
     )
     own = own.where((F.col("n") >= min_support) & (F.col("n") * F.col("sxx") > F.col("sx") * F.col("sx")))
+    if tuning.get("requests") is not None:
+        targets = tuning["requests"]
     if targets is not None:
         own = own.join(targets.select(F.col(by).alias("target")).distinct(), "target", "left_semi")
     return lists.unionByName(own.select("target", F.col("target").alias("neighbour"), F.lit(1.0).alias("similarity")))

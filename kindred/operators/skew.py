@@ -86,12 +86,13 @@ def _on_grid(df, keys, hot, own, other):
     )
 
 
-def wide_join(left, right, on, rows_per_salt=ROWS_PER_SALT, weights=None):
+def wide_join(left, right, on, rows_per_salt=ROWS_PER_SALT, weights=None, measured=None):
     """Inner equi-join that produces many more rows than it reads.
 
     Such joins are sized by their output: both sides go to a number of partitions that
     follows from the weights, while adaptive execution, which only sees the small input,
-    would choose too few. `weights` defaults to `join_weights`, measured by one job.
+    would choose too few. `weights` defaults to `join_weights`; one job takes their sum
+    and maximum unless `measured` has them.
 
     Rows of keys too large for one task are laid out on a grid, left rows by line and
     right rows by column, so that each pair of rows meets in exactly one cell. No row is
@@ -99,7 +100,7 @@ def wide_join(left, right, on, rows_per_salt=ROWS_PER_SALT, weights=None):
     """
     keys = as_list(on)
     weights = join_weights(left, right, keys) if weights is None else weights
-    total, top = total_and_top(weights)
+    total, top = measured or total_and_top(weights)
     tasks = join_tasks(left.sparkSession, total)
     if top <= rows_per_salt:
         return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)

@@ -40,7 +40,7 @@ def similar_neighbours(
 ):
     """Neighbour rows of the distinct `known` requests."""
     lists = materialize(
-        neighbour_lists(ratings, target, min_support, known.select(target), include_self, **tuning), "neighbours"
+        neighbour_lists(ratings, target, min_support, include_self=include_self, requests=known, **tuning), "neighbours"
     )
     rows = neighbour_rows(known, values if values is not None else ratings, lists, target, value)
     if collapse:
