@@ -272,6 +272,11 @@ def oracle_queries():
                     round(coalesce(similarity, 0), 6) AS similarity
              FROM cand LEFT JOIN jac USING (item_1, item_2)
              JOIN sizes p ON p.item_id = item_1 JOIN sizes q ON q.item_id = item_2""",
+        "jaccard_orders": _with(
+            """
+members AS (SELECT DISTINCT l_orderkey AS item_id, l_suppkey AS member_id FROM lineitem)""", JACCARD
+        )
+        + "SELECT item_1, item_2, round(similarity, 6) AS similarity FROM jac WHERE similarity >= 0.8",
         "jaccard_exact": _with(TOKENS, JACCARD) + "SELECT item_1, item_2, round(similarity, 6) AS similarity FROM exact",
         "lsh_similar_items": lsh
         + "SELECT item_1, item_2, round(similarity, 6) AS similarity FROM exact JOIN cand USING (item_1, item_2)",
@@ -325,7 +330,7 @@ def oracle_queries():
         "hybrid_blend": blends,
         "ensemble_blend": blends,
     }
-    found["item_pearson_by_parts"] = found["item_pearson"]
+    found["item_pearson_by_parts"] = found["item_pearson_in_blocks"] = found["item_pearson"]
     found["lsh_similar_by_parts"] = found["lsh_similar_items"]
     return found
 

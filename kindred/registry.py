@@ -53,6 +53,8 @@ CHUNK = 16
 # Reviews at which the blends switch; items on both sides occur.
 SWITCH = 100
 THRESHOLD = 0.5
+# Higher, since hundreds of thousands of orders share half of a few suppliers.
+ORDER_THRESHOLD = 0.8
 KEYS = ["user_id", "item_id"]
 
 clicks = tables.click_ratings
@@ -236,7 +238,12 @@ def pearson_of_items(spark, folder):
 
 def pearson_of_items_by_parts(spark, folder):
     """The same, with raters above a low degree kept out of the self-join and keys split into parts."""
-    return rounded(item_pearson(clicks(spark, folder), ITEM_SUPPORT, hot_degree=100, rows_per_salt=20_000), "similarity")
+    return rounded(item_pearson(clicks(spark, folder), ITEM_SUPPORT, hot_degree=100, rows_per_salt=20_000, blocks=0), "similarity")
+
+
+def pearson_of_items_in_blocks(spark, folder):
+    """The same, joined by pairs of blocks of items."""
+    return rounded(item_pearson(clicks(spark, folder), ITEM_SUPPORT, hot_degree=100, blocks=5), "similarity")
 
 
 def pearson_of_suppliers(spark, folder):
@@ -354,6 +361,12 @@ def jaccard_exact(spark, folder):
     return rounded(exact_jaccard_pairs(members, THRESHOLD), "similarity")
 
 
+def jaccard_of_orders(spark, folder):
+    """Orders are short sets, and each supplier is in very many of them."""
+    members = materialize(tables.order_members(spark, folder), "order-members")
+    return rounded(exact_jaccard_pairs(members, ORDER_THRESHOLD), "similarity")
+
+
 def similar_documents(spark, folder):
     return rounded(lsh_similar_items(tables.document_members(spark, folder), threshold=THRESHOLD), "similarity")
 
@@ -543,6 +556,7 @@ QUERIES = {
     "co_ratings": co_rated_pairs,
     "item_pearson": pearson_of_items,
     "item_pearson_by_parts": pearson_of_items_by_parts,
+    "item_pearson_in_blocks": pearson_of_items_in_blocks,
     "item_pearson_purchases": pearson_of_suppliers,
     "user_pearson": pearson_of_users,
     "canonical_pairs": reversed_pairs,
@@ -563,6 +577,7 @@ QUERIES = {
     "lsh_candidates": lsh_candidates,
     "jaccard": lsh_verified,
     "jaccard_exact": jaccard_exact,
+    "jaccard_orders": jaccard_of_orders,
     "lsh_similar_items": similar_documents,
     "lsh_similar_by_parts": similar_documents_by_parts,
     "pair_precision_recall": precision_recall,

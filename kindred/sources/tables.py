@@ -72,3 +72,9 @@ def document_members(spark, folder):
     texts = texts.repartition("doc_id")
     tokens = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"))
     return texts.select(F.col("doc_id").alias("item_id"), F.explode(tokens).alias("member_id")).where("member_id <> ''")
+
+
+def order_members(spark, folder):
+    """Distinct `(item_id, member_id)`: order and supplier. Short sets of few suppliers."""
+    lines = table(spark, folder, "lineitem")
+    return lines.select(F.col("l_orderkey").alias("item_id"), F.col("l_suppkey").alias("member_id")).distinct()
