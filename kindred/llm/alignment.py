@@ -18,9 +18,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from kindred.llm.bytebpe import in_slices, token_bytes
+from kindred.llm.bytebpe import PartEncoder, in_slices, token_bytes
 from kindred.llm.runs import merge_runs, read_numbers, read_run, write_numbers, write_run
 from kindred.llm.words import worker_state
 from kindred.storage import materialize
@@ -72,8 +71,7 @@ def piece_bytes(model):
 def stretches(text, size=STRETCH):
     """Cut a text before single blanks that follow a visible character, about every `size` characters.
 
-    Neither vocabulary has a token that goes on behind such a place, so the ids are those
-    of the whole text.
+    Where no piece goes on behind such a place the ids are those of the whole text.
     """
     at, parts = 0, []
     while len(text) - at > size and (found := _CUT.search(text, at + size)):
@@ -117,8 +115,8 @@ class Aligner:
     """Aligns slices of texts; made once in a worker."""
 
     def __init__(self, tokenizer_json, model_proto):
-        self.a = Tokenizer.from_str(tokenizer_json)
-        self.a.encode_special_tokens = True
+        self.a = PartEncoder(tokenizer_json)
+        self.a.tokenizer.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_proto)
         table_a, table_b = token_bytes(tokenizer_json), piece_bytes(self.b)
         self.bytes_a, self.bytes_b = Spelling(table_a), Spelling(table_b)
@@ -131,17 +129,15 @@ class Aligner:
 
     def encode(self, texts):
         """Ids of both sides and for each side the text that each of them is in."""
+        ids_a = list(self.a([" " + t if t else None for t in texts]))
+        flat_a = np.frombuffer(b"".join(ids_a), dtype="<u4").astype(np.int64)
         cut = [stretches(" " + t, self.stretch) if t else [] for t in texts]
-        parts = list(chain.from_iterable(cut))
-        owner = np.repeat(np.arange(len(texts)), [len(p) for p in cut])
-        ids_a = [found.ids for found in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        ids_b = self.b.encode([p[1:] for p in parts], num_threads=1) if parts else []
-        sides = []
-        for ids in (ids_a, ids_b):
-            counts = [len(i) for i in ids]
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(counts))
-            sides.append((flat, np.repeat(owner, counts)))
-        return sides
+        ids_b = self.b.encode([p[1:] for p in chain.from_iterable(cut)], num_threads=1) if any(cut) else []
+        counts = [len(i) for i in ids_b]
+        flat_b = np.fromiter(chain.from_iterable(ids_b), dtype=np.int64, count=sum(counts))
+        rows = np.arange(len(texts))
+        owner_b = np.repeat(np.repeat(rows, [len(p) for p in cut]), counts)
+        return [(flat_a, np.repeat(rows, [len(i) // 4 for i in ids_a])), (flat_b, owner_b)]
 
     def same_bytes(self, texts, sides):
         """Which texts both sides spell, a blank before them; empty ones count as not."""
@@ -176,7 +172,7 @@ class Aligner:
         last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         # Every stretch between neighbouring ends lies in one token of either side.
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b[~last_b]]), kind="stable")
         in_a, in_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         owner = text_a[in_a]
         counts = np.array([np.bincount(x, minlength=n) for x in (text_a, text_b, text_a[last_a], owner)], dtype=np.int64)
