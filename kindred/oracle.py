@@ -177,6 +177,25 @@ def _chunks(ratings, owner, entry, lists, length=16):
   GROUP BY 1, 2"""
 
 
+# RMSE of the baseline by fold and damping; folds by the first 32 bits of the md5 of both ids.
+_FOLDS = """, folded AS (
+  SELECT *, CAST('0x' || substr(md5(user_id || ':' || item_id), 1, 8) AS BIGINT) % 5 AS fold FROM clicks),
+grid AS (SELECT unnest([1.0, 10.0, 100.0]) :: DOUBLE AS reg),
+train AS (SELECT f.fold AS held, t.* FROM (SELECT DISTINCT fold FROM folded) f JOIN folded t ON t.fold <> f.fold),
+mu AS (SELECT held, avg(stars) AS m FROM train GROUP BY 1),
+bi AS (SELECT held, reg, item_id, sum(stars - m) / (reg + count(*)) AS item_bias
+       FROM train JOIN mu USING (held), grid GROUP BY 1, 2, 3),
+bu AS (SELECT held, reg, user_id, sum(stars - m - item_bias) / (reg + count(*)) AS user_bias
+       FROM train JOIN mu USING (held) JOIN bi USING (held, item_id) GROUP BY 1, 2, 3),
+scored AS (
+  SELECT f.fold, grid.reg, sqrt(avg(pow(stars - m - coalesce(item_bias, 0) - coalesce(user_bias, 0), 2))) AS rmse
+  FROM folded f JOIN mu ON mu.held = f.fold, grid
+  LEFT JOIN bi ON bi.held = f.fold AND bi.reg = grid.reg AND bi.item_id = f.item_id
+  LEFT JOIN bu ON bu.held = f.fold AND bu.reg = grid.reg AND bu.user_id = f.user_id GROUP BY 1, 2),
+means AS (SELECT reg, avg(rmse) AS rmse FROM scored GROUP BY 1)
+SELECT 'biasReg=' || CAST(reg AS VARCHAR) AS params, round(rmse, 6) AS rmse, rmse = min(rmse) OVER () AS best FROM means"""
+
+
 def oracle_queries():
     clicks, both = _with(CLICKS), _with(CLICKS, PURCHASES, REQUESTS)
     item_sims = _with(CLICKS, _sums("clicks", "item_id", "user_id", 30))
@@ -185,6 +204,9 @@ def oracle_queries():
     lsh = _with(TOKENS, _signatures(), JACCARD)
     list_text = "string_agg(CAST({0} AS VARCHAR), ',' ORDER BY {0}) AS members"
     errors = "SELECT i.prediction - p.stars AS e FROM icf i JOIN purchases p USING (user_id, item_id)"
+    known = "user_id IN (SELECT user_id FROM clicks) AND item_id IN (SELECT item_id FROM clicks)"
+    known_errors = f"{errors} WHERE {known}"
+    zeros = _with(CLICKS, PURCHASES, REQUESTS) + "SELECT user_id, item_id, CAST(0 AS DOUBLE) AS rest FROM requests"
     neighbours = _with(CLICKS, PURCHASES, REQUESTS, *item_cf)
     scores = [CLICKS, PURCHASES, REQUESTS, FEATURES, *_item_cf(policy="means"), *_user_cf(), BASELINE, TREE]
     blends = _with(*scores) + "SELECT user_id, item_id, CAST(0 AS DOUBLE) AS rest FROM requests"
@@ -310,8 +332,28 @@ members AS (SELECT DISTINCT l_orderkey AS item_id, l_suppkey AS member_id FROM l
         "item_cf_rmse": neighbours + f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS unmatched, round(sqrt(avg(e * e)), 6) AS rmse FROM ({errors})",
         "error_histogram": neighbours
         + f"""SELECT bin, label, count(e) AS n
-              FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)')) v(bin, label)
+              FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)'), (5, 'unmatched')) v(bin, label)
               LEFT JOIN ({errors}) x ON least(floor(abs(e)), 4) = bin GROUP BY 1, 2""",
+        "evaluation_incomplete": neighbours
+        + f""", e AS ({known_errors}),
+              counts AS (SELECT (SELECT count(*) FROM e) AS n, (SELECT count(*) FROM purchases) AS n_true)
+              SELECT 'n' AS metric, CAST(n AS DOUBLE) AS value FROM counts
+              UNION ALL SELECT unnest(['unmatched', 'errors unmatched']), CAST(n_true - n AS DOUBLE) FROM counts
+              UNION ALL SELECT 'rmse', round(sqrt(avg(e * e)), 6) FROM e
+              UNION ALL SELECT 'errors ' || label, CAST(count(e) AS DOUBLE)
+              FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)')) v(bin, label)
+              LEFT JOIN e ON least(floor(abs(e)), 4) = bin GROUP BY label""",
+        "gbt_rest": zeros,
+        "mf_products": zeros,
+        "mf_rest": _with(PURCHASES) + "SELECT user_id, count(*) AS n, CAST(0 AS DOUBLE) AS rest FROM purchases GROUP BY 1",
+        "tune_bias": _with(CLICKS) + _FOLDS,
+        "equal_similarity_items": _with(
+            CLICKS, PURCHASES, REQUESTS,
+            """
+twins AS (SELECT user_id, item_id, stars FROM clicks UNION ALL SELECT user_id, item_id + 1000000, stars FROM clicks)""",
+            _sums("twins", "item_id", "user_id", 30), _lists("twins", "item_id", 30), _neighbour_rows("twins", "requests", "item_id"),
+        )
+        + "SELECT user_id, item_id, neighbour, round(s, 6) AS similarity, value FROM ranked WHERE equal_rank = 1",
         "io_request_order": _with(PURCHASES)
         + """SELECT user_id, item_id, row_number() OVER (PARTITION BY item_id ORDER BY user_id DESC) AS place
              FROM purchases""",

@@ -6,10 +6,10 @@ Scores are rounded to 6 decimals; lists and maps come out as text.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kindred.models.baseline import bias_baseline
-from kindred.models.factors import BiasedFactorization, mf_fit, mf_predict
-from kindred.models.trees import gbt_fit, gbt_predict
-from kindred.models.tuning import factor_grid, tune, tuning_report
+from kindred.models.baseline import BiasBaseline, bias_baseline
+from kindred.models.factors import BiasedFactorization, mf_fit, mf_predict, normal_rest, predict_by_factors
+from kindred.models.trees import gbt_fit, gbt_predict, predict_by_nodes, tree_nodes
+from kindred.models.tuning import bias_grid, factor_grid, tune, tuning_report
 from kindred.operators.blend import (
     FOUR_MODEL_HIGH,
     FOUR_MODEL_LOW,
@@ -55,6 +55,8 @@ SWITCH = 100
 THRESHOLD = 0.5
 # Higher, since hundreds of thousands of orders share half of a few suppliers.
 ORDER_THRESHOLD = 0.8
+# Added to the id of an item for that of its twin.
+MIRROR = 1_000_000
 KEYS = ["user_id", "item_id"]
 
 clicks = tables.click_ratings
@@ -270,6 +272,18 @@ def equal_similarity_collapse(spark, folder):
     return rounded(rows, "similarity")
 
 
+def _mirrored(ratings):
+    """Ratings with a twin of each item, whose similarities all equal those of the item."""
+    twins = ratings.withColumn("item_id", F.col("item_id") + MIRROR)
+    return ratings.select(*KEYS, "stars").unionByName(twins.select(*KEYS, "stars"))
+
+
+def equal_similarity_items(spark, folder):
+    """Of an item and its twin one stays for each request."""
+    rows = item_neighbours(_mirrored(clicks(spark, folder)), all_requests(spark, folder), ITEM_SUPPORT)
+    return rounded(collapse_equal_similarity(rows), "similarity")
+
+
 def equal_similarity_users(spark, folder):
     """Users with few common items often have equal similarities."""
     ratings = stage_ratings(purchases(spark, folder))
@@ -449,7 +463,24 @@ def item_cf_errors(spark, folder):
     return error_histogram(*_item_cf_scored(spark, folder))
 
 
-# Trained models: checked on planted signals in the tests, not by SQL.
+def evaluation_incomplete(spark, folder):
+    """Only known requests are predicted; the rest of the truth is unmatched."""
+    ratings, truth = stage_ratings(clicks(spark, folder)), materialize(purchases(spark, folder), "truth")
+    known = known_requests(truth.select(*KEYS), ratings)
+    score, histogram = evaluate(item_cf_predict(ratings, known, ITEM_SUPPORT, stage=False), truth)
+    return _metric_rows(score, histogram, ("n", "unmatched", "rmse"))
+
+
+def _metric_rows(score, histogram, names):
+    """One row a metric and a bin: `(metric, value)`."""
+    rows = [F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), 6).alias("value")) for c in names]
+    as_row = score.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    bins = F.concat(F.lit("errors "), F.col("label")).alias("metric")
+    return as_row.unionByName(histogram.select(bins, F.col("n").cast("double").alias("value")))
+
+
+# Trained models: what they predict rests on training; that their tables say the same, and that
+# the last step of the factors is solved, is checked by SQL.
 
 
 def _training(spark, folder):
@@ -462,6 +493,32 @@ def tree_predictions(spark, folder):
     return gbt_predict(model, requests)
 
 
+def tree_rest(spark, folder):
+    """What the trees predict beyond their table of nodes: 0 for every request."""
+    model = gbt_fit(materialize(_training(spark, folder), "training"))
+    requests = materialize(assemble_features(all_requests(spark, folder), *_attributes(spark, folder)), "requests")
+    by_nodes = predict_by_nodes(tree_nodes(spark, model), requests, model.stages[-1].getMaxDepth())
+    return _rest(gbt_predict(model, requests), by_nodes, 6)
+
+
+def _rest(predicted, other, digits):
+    both = predicted.select(*KEYS, "prediction").join(other.select(*KEYS, F.col("prediction").alias("again")), KEYS)
+    return both.select(*KEYS, F.abs(F.round(F.col("prediction") - F.col("again"), digits)).alias("rest"))
+
+
+def factor_rest(spark, folder):
+    """What the users' factors leave of their normal equations: 0 for every user, to the 4 digits that floats allow."""
+    rest = normal_rest(mf_fit(stage_ratings(purchases(spark, folder))))
+    return rest.select("user_id", "n", F.round("rest", 4).alias("rest"))
+
+
+def factor_products(spark, folder):
+    """What the factor model predicts beyond baseline and product of the factor tables: 0 for every request."""
+    ratings, requests = stage_ratings(clicks(spark, folder)), materialize(all_requests(spark, folder), "requests")
+    model = mf_fit(ratings)
+    return _rest(mf_predict(model, requests), predict_by_factors(model, requests), 4)
+
+
 def factor_predictions(spark, folder):
     ratings = stage_ratings(purchases(spark, folder))
     return mf_predict(mf_fit(ratings), click_requests(spark, folder))
@@ -481,6 +538,11 @@ def tune_mf(spark, folder):
     return tuning_report(spark, tune(stage_ratings(clicks(spark, folder)), estimator, grid))
 
 
+def tune_bias(spark, folder):
+    estimator = BiasBaseline()
+    return rounded(tuning_report(spark, tune(clicks(spark, folder), estimator, bias_grid(estimator))), "rmse")
+
+
 def hybrid(spark, folder):
     return hybrid_predict(
         clicks(spark, folder), all_requests(spark, folder), *_attributes(spark, folder), ITEM_SUPPORT, SWITCH
@@ -522,9 +584,7 @@ def ensemble_metrics(spark, folder):
     truth = purchases(spark, folder)
     predictions = materialize(ensemble(spark, folder), "ensemble")
     score, histogram = evaluate(predictions, truth)
-    rows = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in ("rmse", "unmatched")]
-    as_row = score.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return as_row.unionByName(histogram.select(F.col("label").alias("metric"), F.col("n").cast("double").alias("value")))
+    return _metric_rows(score, histogram, ("rmse", "unmatched"))
 
 
 QUERIES = {
@@ -562,6 +622,7 @@ QUERIES = {
     "canonical_pairs": reversed_pairs,
     "top_k_neighbors": top_k_neighbors,
     "equal_similarity_collapse": equal_similarity_collapse,
+    "equal_similarity_items": equal_similarity_items,
     "equal_similarity_users": equal_similarity_users,
     "item_cf_basic": item_cf_basic,
     "item_cf_means": item_cf_means,
@@ -589,10 +650,15 @@ QUERIES = {
     "blend_four": blend_four,
     "item_cf_rmse": item_cf_rmse,
     "error_histogram": item_cf_errors,
+    "evaluation_incomplete": evaluation_incomplete,
     "gbt_predict": tree_predictions,
+    "gbt_rest": tree_rest,
     "mf_predict": factor_predictions,
+    "mf_rest": factor_rest,
+    "mf_products": factor_products,
     "mf_cold": factor_cold_starts,
     "tune_mf": tune_mf,
+    "tune_bias": tune_bias,
     "hybrid_parts": hybrid_parts,
     "hybrid_blend": hybrid_blend,
     "ensemble_parts": ensemble_parts,
