@@ -19,8 +19,10 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from kindred.llm.words import worker_state
 
-# Most parts whose ids a worker keeps, and the longest part it keeps, in characters.
-KEPT_PARTS = 600_000
+# Bytes of parts and ids that a worker keeps, about, and the longest part it keeps, in characters.
+KEPT_BYTES = 100_000_000
+# What Python takes for a part and its ids beside their characters.
+PART_OVERHEAD = 190
 KEPT_LENGTH = 64
 WORDS_IN_A_ROW = 100
 
@@ -86,9 +88,10 @@ class PartEncoder:
 
     def __init__(self, tokenizer_json):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.kept = {}
+        self.kept, self.held = {}, 0
+        self.table = token_bytes(tokenizer_json)
         # Ids of tokens that begin with a blank: no other token of a letter word does.
-        begins = [i for i, token in enumerate(token_bytes(tokenizer_json)) if token[:1] == b" "]
+        begins = [i for i, token in enumerate(self.table) if token[:1] == b" "]
         self.begins = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         self.begins[begins] = True
 
@@ -117,11 +120,12 @@ class PartEncoder:
     def __call__(self, texts):
         """Ids of each text; None is taken as empty."""
         parts = [_PART.findall(t) if t and (t.isascii() or not _WIDE_BLANK.search(t)) else None for t in texts]
-        if len(self.kept) > KEPT_PARTS:
-            self.kept.clear()
+        if self.held > KEPT_BYTES:
+            self.kept, self.held = {}, 0
         long = {}
         for part, ids in self._learn(set(chain.from_iterable(p for p in parts if p)).difference(self.kept)):
             (self.kept if len(part) <= KEPT_LENGTH else long)[part] = ids
+            self.held += len(part) + len(ids) + PART_OVERHEAD
         get = self.kept.__getitem__
         for text, found in zip(texts, parts):
             if found is None:
@@ -183,6 +187,7 @@ def decode(encoded, tokenizer_json):
     shared = encoded.sparkSession.sparkContext.broadcast(token_bytes(tokenizer_json))
 
     def work(batches):
+        worker_state()
         table = shared.value
         for batch in batches:
             found = [None if ids is None else decode_ids(ids, table) for ids in batch.column("ids").to_pylist()]
@@ -203,7 +208,7 @@ def spans(ids, table):
 
 
 def encode_with_spans(docs, tokenizer_json):
-    """`(doc_id, ids, starts, ends)` for every row, ids and character spans as arrays."""
+    """`(doc_id, ids, starts, ends)` for every row, ids and character spans as arrays; empty for a null or empty text."""
     shared = docs.sparkSession.sparkContext.broadcast((tokenizer_json, token_bytes(tokenizer_json)))
 
     def work(batches):
@@ -222,18 +227,25 @@ def encode_with_spans(docs, tokenizer_json):
 
 
 def round_trip(docs, tokenizer_json):
-    """`(doc_id, ids, decoded)` for every row: encoded, and the ids decoded again."""
-    shared = docs.sparkSession.sparkContext.broadcast(token_bytes(tokenizer_json))
+    """`(doc_id, ids, decoded)` for every row: encoded, and the ids decoded again, in one step.
+
+    Nulls, repeated rows and other columns as in `encode`; a text without ids decodes to nothing.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def work(batches):
-        table = shared.value
+        encoder = part_encoder(shared.value)
         for batch in batches:
-            found = [decode_ids(ids, table) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(found, pa.binary())], ["doc_id", "ids", "decoded"]
-            )
+            ids, row = batch.column("doc_id"), 0
+            for texts in in_slices(batch.column("text").to_pylist()):
+                found = list(encoder(texts))
+                columns = [ids.slice(row, len(found)), pa.array(found, pa.binary())]
+                columns.append(pa.array([decode_ids(i, encoder.table) for i in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+                row += len(found)
 
-    return encode(docs, tokenizer_json).mapInArrow(work, "doc_id bigint, ids binary, decoded binary")
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    return rows.mapInArrow(work, "doc_id bigint, ids binary, decoded binary")
 
 
 def digests(trips):

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.vectors import best, matrix, ranked, usable, widest
+from kindred.llm.words import worker_state
 from kindred.storage import materialize
 
 CURVES = 16
@@ -90,6 +91,7 @@ def ordered_blocks(rows, fitted, width, blocks):
     shared = rows.sparkSession.sparkContext.broadcast(fitted)
 
     def work(batches):
+        worker_state()
         fitted = shared.value
         for batch in batches:
             vectors = matrix(batch.column("vector"), width, np.float64)
@@ -108,6 +110,7 @@ def search_blocks(table, asking, k, width):
     """`(query_id, vec_id, score)`: the best of each block for the queries sent to it."""
 
     def work(candidates, queries):
+        worker_state()
         ids, asked = candidates["vec_id"].to_numpy(), queries["query_id"].to_numpy()
         vectors, wanted = matrix(candidates["vector"], width, np.float64), matrix(queries["vector"], width, np.float64)
         rows = []

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.learn import narrowed, remainder
 from kindred.llm.mapped import COUNT_TYPES, GATHERED, Gathering, edges_of, find, mapped_folder, packed, read_array, shard_bits, summed, unpacked, write_array
-from kindred.llm.words import Words, mix, text_pieces
+from kindred.llm.words import Words, mix, text_pieces, worker_state
 from kindred.storage import scratch_path
 
 # Characters of training text for each shard of the tables, about.
@@ -112,6 +112,7 @@ def count_words(texts, folder, bits):
         )
 
     def gather(batches):
+        worker_state()
         gathering = Gathering()
         for batch in batches:
             for _, data, bounds in text_pieces(batch.column("text")):
@@ -122,6 +123,7 @@ def count_words(texts, folder, bits):
         yield send(gathering)
 
     def store(key, rows):
+        worker_state()
         keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()])
         counts = np.concatenate([unpacked(c).astype(np.int64) for c in rows["counts"].to_pylist()])
         keys, counts = summed(keys, counts)
@@ -181,6 +183,7 @@ def count_pairs(texts, vocabulary, layout):
         return _emit(rows, _PAIR_ROWS)
 
     def gather(batches):
+        worker_state()
         vocabulary, layout = shared.value
         gathering = Gathering()
         for batch in batches:
@@ -193,6 +196,7 @@ def count_pairs(texts, vocabulary, layout):
         yield send(gathering, layout)
 
     def store(key, rows):
+        worker_state()
         vocabulary, layout = shared.value
         keys, counts = [], []
         for steps, words, n in zip(*(rows[c].to_pylist() for c in ("steps", "words", "counts"))):
@@ -229,6 +233,7 @@ def store_stats(stats, vocabulary):
     shared = stats.sparkSession.sparkContext.broadcast(vocabulary)
 
     def store(key, rows):
+        worker_state()
         vocabulary, shard = shared.value, key[0].as_py()
         pairs = np.zeros(4, dtype=np.int64)
         if shard < 0:
@@ -358,6 +363,7 @@ def score(docs, model, held_out):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
+        worker_state()
         model = shared.value
         for batch in batches:
             n = batch.num_rows

@@ -262,6 +262,7 @@ def links_in_buckets(members, sets, similarity, weight):
     """
 
     def compare(key, rows):
+        worker_state()
         same = key[1].as_py() == key[2].as_py()
         nodes, labels, upper = (rows[c].to_numpy(zero_copy_only=False) for c in ("node", "label", "_upper"))
         hashes = [np.frombuffer(h, dtype=np.uint64) for h in rows["hashes"].to_pylist()]

@@ -93,6 +93,7 @@ def find_anchors(docs, folder, bits, window, anchor):
         yield send(gathering)
 
     def store(key, rows):
+        worker_state()
         keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()])
         counts = np.concatenate([unpacked(c).astype(np.int64) for c in rows["counts"].to_pylist()])
         keys, counts = summed(keys, counts)
@@ -155,6 +156,7 @@ def find_places(docs, anchors, window, anchor, crowded):
             yield send(held)
 
     def store(key, rows):
+        worker_state()
         keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()])
         columns = [np.concatenate([unpacked(c).astype(np.int64) for c in rows[name].to_pylist()]) for name in ("docs", "starts", "counts")]
         keys, docs, starts, counts = earliest(keys, *columns)
@@ -228,6 +230,7 @@ def unmatched(rows, folder, bits, window):
     """Store the hashes of windows that no automaton of their shard accepts: different windows with equal hashes."""
 
     def match(key, rows):
+        worker_state()
         numbers, automaton, wrong = {}, SuffixAutomaton(), []
         number = lambda words: [numbers.setdefault(w, len(numbers)) for w in words.split(b" ")]
         reference, stretches = rows["reference"].to_pylist(), rows["words"].to_pylist()
@@ -245,6 +248,7 @@ def unmatched(rows, folder, bits, window):
         return pa.table({"shard": pa.array(used, pa.int32()), "keys": pa.array([found[edges[i] : edges[i + 1]].tobytes() for i in used], pa.binary())})
 
     def store(key, rows):
+        worker_state()
         keys = np.unique(np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()]))
         write_array(folder, f"unmatched-{key[0].as_py()}", keys)
         return pa.table({"n": [len(keys)]})

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.vectors import best, matrix, ranked, usable, widest
+from kindred.llm.words import worker_state
 
 # Queries that are sent out at once, and those scored against a batch at once.
 QUERIES_A_ROUND = 8192
@@ -68,6 +69,7 @@ def search_round(candidates, queries, k, width):
     shared = spark.sparkContext.broadcast((ids, matrix(held["vector"], width, np.int64)))
 
     def work(batches):
+        worker_state()
         ids, weights = shared.value
         leaders = Leaders(len(ids), k)
         for batch in batches:

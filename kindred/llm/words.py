@@ -5,6 +5,9 @@ words have equal hashes in every task and run. Operators whose result must not r
 hash compare the words themselves afterwards.
 """
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 
@@ -22,32 +25,48 @@ _POWERS = {}
 _STATE = {}
 
 
+def _give_back():
+    """Return what earlier tasks left free in this process: a worker's heap else only grows."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def worker_state(owner=None, make=None):
     """What `owner` keeps in this worker process from task to task, made at first.
 
     A worker serves many operators one after another; only the last of them keeps
-    anything, so that their caches do not add up. Without an owner all is let go.
+    anything, so that their caches do not add up. Every step calls this first; without an
+    owner all is let go.
     """
-    if _STATE.get("owner") != owner:
+    if owner is None or _STATE.get("owner") != owner:
         _STATE.clear()
+        _give_back()
         if owner is not None:
             _STATE.update(owner=owner, state=make())
     return _STATE.get("state")
 
 
+def _power_rows(base, n):
+    rows = []
+    for factor in (base, np.uint64(pow(int(base), -1, 1 << 64))):
+        row = np.full(n, factor, dtype=np.uint64)
+        row[0] = 1
+        rows.append(np.multiply.accumulate(row))
+    return rows
+
+
 def _powers(base, n):
-    """Powers of `base` and of its inverse modulo 2**64, at least `n` of each."""
-    held = _POWERS.get(int(base))
-    if held is None or len(held[0]) < n:
-        size = max(n, PIECE_BYTES + 1)
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        held = []
-        for factor in (base, inverse):
-            row = np.full(size, factor, dtype=np.uint64)
-            row[0] = 1
-            held.append(np.multiply.accumulate(row))
-        _POWERS[int(base)] = held
-    return held[0][:n], held[1][:n]
+    """Powers of `base` and of its inverse modulo 2**64, `n` of each; those of a longer text are not kept."""
+    if n > PIECE_BYTES + 1:
+        return _power_rows(base, n)
+    if int(base) not in _POWERS:
+        _POWERS[int(base)] = _power_rows(base, PIECE_BYTES + 1)
+    up, down = _POWERS[int(base)]
+    return up[:n], down[:n]
 
 
 def mix(x):
