@@ -16,6 +16,7 @@ comparisons a member, and as many more as there are members it does not link.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.llm.learn import narrowed
@@ -91,18 +92,24 @@ def band_keys(signature, bands, rows):
     return mix(keys + np.arange(bands, dtype=np.uint64) * _GOLDEN)
 
 
-def fingerprints(shingles, n):
-    """Two sums over the distinct shingles of each row; equal sets have equal sums."""
-    result = []
+def fingerprints(shingles, n, weights):
+    """Two sums over the distinct shingles of each row; equal weighted sets have equal sums."""
+    result, times = [], weights.astype(np.uint64)
     for salt in (1, 2):
         total = np.zeros(len(shingles.hashes) + 1, dtype=np.uint64)
-        np.cumsum(mix(shingles.hashes + _multiple(salt << 40)), out=total[1:])
+        np.cumsum(mix(mix(shingles.hashes + _multiple(salt << 40)) + times), out=total[1:])
         result.append((total[shingles.first[1:]] - total[shingles.first[:-1]]).view(np.int64))
     return result
 
 
+def _with_text_hash(docs, *columns):
+    """The rows with an id: id, hash of the text, and `columns`."""
+    rows = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), *(docs[c].alias(c) for c in columns))
+    return rows.where("doc_id is not null")
+
+
 def described(docs, shingle, bands, rows, weight):
-    """`(doc_id, size, print_a, print_b, bands)` of documents with words, written."""
+    """`(doc_id, text_hash, node, size, bands)` of rows with words, written; a node is a distinct weighted set."""
 
     def work(batches):
         worker_state()
@@ -112,37 +119,42 @@ def described(docs, shingle, bands, rows, weight):
                 found = Shingles(data, bounds, shingle)
                 weights = np.ones(len(found.rows)) if weight == "set" else found.counts.astype(float)
                 keys = band_keys(signatures(found.rows, found.hashes, weights, n, bands * rows), bands, rows)
-                a, b = fingerprints(found, n)
+                a, b = fingerprints(found, n, weights)
                 offsets = np.arange(n + 1, dtype=np.int32) * bands
-                columns = [batch.column("doc_id").slice(row, n), pa.array(np.diff(found.first).astype(np.int64)), pa.array(a), pa.array(b)]
+                columns = [batch.column(c).slice(row, n) for c in ("doc_id", "text_hash")]
+                columns += [pa.array(np.diff(found.first).astype(np.int64)), pa.array(a), pa.array(b)]
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel())))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "print_a", "print_b", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "size", "print_a", "print_b", "bands"])
 
-    schema = "doc_id bigint, size bigint, print_a bigint, print_b bigint, bands array<bigint>"
-    described = narrowed(docs).where("doc_id is not null").mapInArrow(work, schema)
-    return materialize(described.where("size > 0"), "signatures")
+    schema = "doc_id bigint, text_hash bigint, size bigint, print_a bigint, print_b bigint, bands array<bigint>"
+    found = _with_text_hash(docs, "text").mapInArrow(work, schema).where("size > 0")
+    node = F.xxhash64("print_a", "print_b", "size").alias("node")
+    return materialize(found.select("doc_id", "text_hash", node, "size", "bands"), "signatures")
 
 
 def shingle_sets(docs, nodes, shingle):
-    """`(node, hashes, counts)` of the documents in `nodes`, as bytes of sorted hashes and their counts; written."""
+    """`(node, hashes, counts)` of the texts `(doc_id, text_hash)` of `nodes`, as bytes of sorted hashes and their counts; written."""
 
     def work(batches):
+        worker_state()
         for batch in batches:
             for row, data, bounds in text_pieces(batch.column("text")):
                 found = Shingles(data, bounds, shingle)
                 parts = list(zip(found.first[:-1].tolist(), found.first[1:].tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(row, len(parts)),
+                        batch.column("node").slice(row, len(parts)),
                         pa.array([found.hashes[a:b].tobytes() for a, b in parts], pa.binary()),
                         pa.array([found.counts[a:b].astype(np.uint32).tobytes() for a, b in parts], pa.binary()),
                     ],
                     ["node", "hashes", "counts"],
                 )
 
-    wanted = narrowed(docs).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text")
+    wanted = _with_text_hash(docs, "text").join(nodes, ["doc_id", "text_hash"]).select("node", "text")
     sets = wanted.mapInArrow(work, "node bigint, hashes binary, counts binary")
-    return materialize(sets.groupBy("node").agg(F.max_by("hashes", F.length("hashes")).alias("hashes"), F.max_by("counts", F.length("hashes")).alias("counts")), "sets")
+    # A row that is there several times gives the same set.
+    one = sets.groupBy("node").agg(F.first(F.struct("hashes", "counts")).alias("s"))
+    return materialize(one.select("node", "s.hashes", "s.counts"), "sets")
 
 
 def probability_jaccard(a, b, x, y):
@@ -154,16 +166,17 @@ def probability_jaccard(a, b, x, y):
     if x is None:
         return len(common) / (len(a) + len(b) - len(common))
     only_a, only_b = x.sum() - x[i].sum(), y.sum() - y[j].sum()
-    p, q, total = x[i], y[j], 0.0
-    for u, v in zip(p, q):
-        total += 1 / (only_a / u + only_b / v + np.maximum(p / u, q / v).sum())
-    return total
+    # Few pairs of weights are different.
+    (p, q), times = np.unique(np.stack([x[i], y[j]]), axis=1, return_counts=True)
+    larger = np.maximum(p[None, :] / p[:, None], q[None, :] / q[:, None]) @ times
+    return float((times / (only_a / p + only_b / q + larger)).sum())
 
 
 def verified(pairs, sets, similarity, weight):
     """The pairs `(a, b)` whose similarity is at least `similarity`, with it."""
 
     def work(batches):
+        worker_state()
         for batch in batches:
             rows = []
             for a, b, x, y, m, n in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y", "m", "n"))):
@@ -218,22 +231,31 @@ def _crowded(members):
     return members.join(near, "node")
 
 
-def overlaps(left, right):
-    """How many hashes each of the sorted arrays `left` shares with each of `right`."""
+def overlaps(left, right, weights=None):
+    """How many hashes each of the sorted arrays `left` shares with each of `right`.
+
+    With the weights of both sides, the weight of each left one in common, and of each right one.
+    """
     common = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-    result = np.zeros((len(left), len(right)), dtype=np.float32)
+    results = [np.zeros((len(left), len(right)), dtype=np.float32) for _ in (weights or [None])]
 
-    def marks(sets, part):
+    def marks(sets, part, values=None):
         table = np.zeros((len(sets), len(part)), dtype=np.float32)
-        for row, hashes in zip(table, sets):
+        for i, (row, hashes) in enumerate(zip(table, sets)):
             at = np.minimum(np.searchsorted(part, hashes), len(part) - 1)
-            row[at[part[at] == hashes]] = 1
+            hit = part[at] == hashes
+            row[at[hit]] = 1 if values is None else values[i][hit]
         return table
 
     for start in range(0, len(common), 16_384):
         part = common[start : start + 16_384]
-        result += marks(left, part) @ marks(right, part).T
-    return result
+        m, n = marks(left, part), marks(right, part)
+        if weights is None:
+            results[0] += m @ n.T
+        else:
+            results[0] += marks(left, part, weights[0]) @ n.T
+            results[1] += m @ marks(right, part, weights[1]).T
+    return results[0] if weights is None else results
 
 
 def block_pairs(members):
@@ -270,10 +292,17 @@ def links_in_buckets(members, sets, similarity, weight):
         sides = (np.arange(len(nodes)),) * 2 if same else (np.flatnonzero(~upper), np.flatnonzero(upper))
         found = []
         if all(len(s) for s in sides):
-            shared = overlaps(*([hashes[i] for i in side] for side in sides))
-            sizes = np.array([len(h) for h in hashes], dtype=float)
-            m, n = sizes[sides[0]][:, None], sizes[sides[1]][None, :]
-            near = shared / (m + n - shared) >= similarity - 1e-6 if weight == "set" else shared > 0
+            sets = [[hashes[i] for i in side] for side in sides]
+            if weight == "set":
+                shared = overlaps(*sets)
+                m, n = (np.array([len(h) for h in side], dtype=float) for side in sets)
+                near = shared / (m[:, None] + n[None, :] - shared) >= similarity - 1e-6
+            else:
+                # The similarity is at most the share of either side's weight that is in common.
+                values = [[counts[i] for i in side] for side in sides]
+                own, other = overlaps(*sets, values)
+                m, n = (np.array([v.sum() for v in side]) for side in values)
+                near = (own / m[:, None] >= similarity - 1e-5) & (other / n[None, :] >= similarity - 1e-5)
             near &= labels[sides[0]][:, None] != labels[sides[1]][None, :]
             for i, j in zip(*np.nonzero(near)):
                 a, b = sorted((int(sides[0][i]), int(sides[1][j])), key=lambda k: nodes[k])
@@ -290,23 +319,24 @@ def links_in_buckets(members, sets, similarity, weight):
     return materialize(grouped.applyInArrow(compare, "a bigint, b bigint, similarity double").distinct(), "links")
 
 
-def linked_classes(docs, heads, similarity, shingle, weight):
+def linked_classes(docs, heads, similarity, shingle, weight, links=None):
     """`(node, label)` of the heads that share a class with another, by links between different texts.
 
     In each round the members of a bucket are compared with one of them, the same in all
     buckets of a group: the one whose hash for that round is the smallest, and in the last
     round the one with most members in its buckets. Buckets whose members are all in one
     class are done. After the rounds, the members of the other buckets are compared with
-    each other where their classes differ.
+    each other where their classes differ. `links` are some that hold beforehand.
     """
     buckets = heads.select("node", "size", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
     crowded = materialize(crowded, "buckets")
     shared = materialize(buckets.join(crowded, "bucket"), "members")
-    sets = shingle_sets(docs, shared.select("node").distinct(), shingle)
+    wanted = heads.select("node", "head.doc_id", "head.text_hash").join(shared.select("node").distinct(), "node")
+    sets = shingle_sets(docs, wanted, shingle)
     fits = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) if weight == "set" else F.lit(True)
     members = materialize(shared.withColumn("label", F.col("node")), "mixed")
-    tried, links = None, None
+    tried = None
     for turn in range(PIVOT_ROUNDS + 1):
         ranked = _crowded(members) if turn == PIVOT_ROUNDS else members.withColumn("_near", F.lit(0))
         pivot = F.struct(-F.col("_near"), F.xxhash64("node", F.lit(turn)), "node", "size", "label")
@@ -327,6 +357,34 @@ def linked_classes(docs, heads, similarity, shingle, weight):
     return components(links.unionByName(links_in_buckets(members, sets, similarity, weight)))
 
 
+def _links_of_ids(table):
+    """Links between the texts of rows with one id, or None where each id has one text."""
+    nodes = table.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_last")).where("a < _last")
+    nodes = materialize(nodes.select("doc_id", "a"), "ids-of-several-texts")
+    if nodes.isEmpty():
+        return None
+    pairs = table.join(nodes, "doc_id").select("a", F.col("node").alias("b")).where("a < b").distinct()
+    return materialize(pairs.withColumn("similarity", F.lit(None).cast("double")), "links-of-ids")
+
+
+def text_classes(docs, similarity=SIMILARITY, shingle=SHINGLE, bands=BANDS, rows=ROWS, weight="set", link_ids=False):
+    """`(doc_id, text_hash, label)` of every row with an id and words: texts with one label are linked, over any number of links.
+
+    `text_hash` is `xxhash64(text)`. Texts are judged one by one, whatever id they stand
+    at; with `link_ids`, those of one id are linked as well. Options as in
+    `near_duplicates`. Runs Spark jobs.
+    """
+    if weight not in ("set", "count"):
+        raise ValueError("weight is 'set' or 'count'")
+    table = described(docs, shingle, bands, rows, weight)
+    head = F.min(F.struct("doc_id", "text_hash")).alias("head")
+    heads = materialize(table.groupBy("node").agg(head, F.first("size").alias("size"), F.first("bands").alias("bands")), "heads")
+    links = _links_of_ids(table.select("doc_id", "node")) if link_ids else None
+    labels = linked_classes(docs, heads, similarity, shingle, weight, links)
+    member = table.select("doc_id", "text_hash", "node").join(labels, "node", "left")
+    return member.select("doc_id", "text_hash", F.coalesce("label", "node").alias("label"))
+
+
 def near_duplicates(docs, similarity=SIMILARITY, shingle=SHINGLE, bands=BANDS, rows=ROWS, weight="set"):
     """`(doc_id, class_id)` for every row: the smallest id among the documents it is linked with, over any number of links.
 
@@ -336,24 +394,34 @@ def near_duplicates(docs, similarity=SIMILARITY, shingle=SHINGLE, bands=BANDS, r
 
     A text with fewer words than a shingle is one shingle; a text that is null or has no
     words is alone in its class, as is a row without an id (class null). Rows with one id
-    count as one document, whose texts are linked. Other columns are not read; an empty
-    table gives no rows. Runs Spark jobs.
+    count as one document, which has the links of all its texts. Other columns are not read;
+    an empty table gives no rows. Runs Spark jobs.
 
-    Equal sets of shingles are one text from the start, and only different texts are
-    compared.
+    Equal weighted sets of shingles are one text from the start, and only different texts
+    are compared.
     """
-    if weight not in ("set", "count"):
-        raise ValueError("weight is 'set' or 'count'")
-    table = described(docs, shingle, bands, rows, weight)
-    # With counts as weights, texts of equal sets may still differ; they are linked by their bands then.
-    prints = ["print_a", "print_b"] if weight == "set" else ["print_a", "print_b", "_own"]
-    table = table.withColumn("_own", F.lit(0) if weight == "set" else F.col("doc_id"))
-    heads = table.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min_by("size", "doc_id").alias("size"), F.min_by("bands", "doc_id").alias("bands"))
-    heads = materialize(heads, "heads")
-    one = heads.groupBy("node").agg(F.max("size").alias("size"), F.flatten(F.collect_list("bands")).alias("bands"))
-    labels = linked_classes(docs, one, similarity, shingle, weight)
-    member = table.select("doc_id", *prints).join(heads.select("node", *prints), prints).select("doc_id", "node")
-    member = member.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
-    member = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    found = materialize(text_classes(docs, similarity, shingle, bands, rows, weight, link_ids=True), "text-classes")
+    firsts = found.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    member = found.select("doc_id", "label").distinct().join(firsts, "label").select("doc_id", "class_id")
     ids = docs.select(docs["doc_id"].alias("doc_id"))
     return ids.join(member, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+
+
+def drop_near_duplicates(docs, keep, similarity=SIMILARITY, shingle=SHINGLE, weight="set"):
+    """The columns `keep` of the rows that stay: of each class of linked texts the one with the smallest id.
+
+    A row goes only if its own text is linked with, or equals, that of a row that stays.
+    Among texts of the smallest id the one with the smallest hash stays, and among equal
+    rows the first by the other columns of `keep`. Rows without an id and texts without
+    words stay. An empty table gives no rows.
+    """
+    found = materialize(text_classes(docs, similarity, shingle, weight=weight), "text-classes")
+    place = F.struct("doc_id", "text_hash")
+    chosen = found.groupBy("label").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash", F.lit(True).alias("_stays"))
+    judged = found.select("doc_id", "text_hash").distinct().join(chosen, ["doc_id", "text_hash"], "left")
+    rows = docs.select(*keep, F.xxhash64("text").alias("text_hash"))
+    rows = rows.join(judged.withColumn("_judged", F.lit(True)), ["doc_id", "text_hash"], "left").where("_judged is null or _stays")
+    others = [F.col(c) for c in keep if c not in ("doc_id", "text")]
+    order = Window.partitionBy("doc_id", "text_hash").orderBy(*(others or [F.lit(0)]))
+    first = rows.where("_judged").withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return first.select(*keep).unionByName(rows.where("_judged is null").select(*keep))

@@ -54,7 +54,7 @@ def op5_kneser_ney(spark, folder):
 
 
 def op6_near_duplicates(spark, folder):
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents"), weight="count")
 
 
 def op7_exact_top_k(spark, folder):
