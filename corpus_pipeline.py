@@ -7,10 +7,10 @@ of documents.
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from kindred.llm import probminhash
 from kindred.llm.bytebpe import read_tokenizer
 from kindred.llm.packing import pack
 from kindred.llm.ppm import UNDECIDED, language_id
-from kindred.llm.probminhash import near_duplicates
 from kindred.llm.registry import table
 from kindred.llm.substrings import drop_repeats
 from kindred.llm.toxicity import toxicity
@@ -20,25 +20,33 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that are not predicted toxic."""
+    """Rows that are not predicted toxic.
+
+    Each row is judged by its own text, so repeated rows go or stay together, whatever
+    their id, null included. A null or empty text gets the score of a text without words. An
+    empty table gives no rows.
+    """
     judged = toxicity(docs, table(spark, sf_dir, "labels"), keep=DOCUMENT_COLUMNS)
     return judged.where("predicted = 0").select(*DOCUMENT_COLUMNS)
 
 
 def keep_identified(spark, docs, sf_dir):
-    """Documents whose language can be told; `lang` becomes the predicted language."""
+    """Rows whose language can be told; `lang` becomes the predicted language.
+
+    Texts without a letter go, null and empty ones among them; repeated rows and null ids
+    are judged by their texts like others. An empty table gives no rows.
+    """
     judged = language_id(docs, keep=DOCUMENT_COLUMNS).where(F.col("lang_pred") != UNDECIDED)
     return judged.withColumn("lang", F.col("lang_pred")).select(*DOCUMENT_COLUMNS)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """Of each group of near copies the document with the smallest id; rows without an id stay.
+    """Of each group of near copies the row with the smallest id; rows go only if their own text is linked.
 
-    Rows with one id count as one document, of which one row stays.
+    Rows without an id and texts without words (null, empty, blanks) stay; of equal rows
+    one stays. An empty table gives no rows.
     """
-    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*DOCUMENT_COLUMNS)
+    return probminhash.drop_near_duplicates(docs, DOCUMENT_COLUMNS)
 
 
 def drop_repeated_passages(spark, docs, sf_dir):
@@ -49,7 +57,11 @@ def drop_repeated_passages(spark, docs, sf_dir):
 
 
 def pack_sequences(spark, docs, sf_dir):
-    """Pieces of the documents in sequences of 2048 tokens."""
+    """Pieces of the documents in sequences of 2048 tokens.
+
+    Every row is a document of its own, also with a repeated or null id; a null or empty
+    text is one token, the end. An empty table gives no rows.
+    """
     return pack(docs, read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
 
 
