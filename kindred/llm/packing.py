@@ -4,11 +4,13 @@ Documents that fit into a sequence have a length class. A pattern says how many
 of each class fill one sequence. A linear program over the histogram of classes chooses
 how often each pattern is used; a knapsack dynamic program prices new patterns with the
 duals until none improves. The rounded patterns are dealt out to the documents by their
-rank within their class. Longer documents, which must be cut anyway, fill what is left.
+rank within their class. Longer documents are cut into whole sequences and a remainder,
+which goes through the program as well; whole sequences fill what the program leaves.
 
 Only the histogram, as long as a sequence has classes, reaches the driver.
 """
 
+import warnings
 import zlib
 
 import numpy as np
@@ -27,8 +29,14 @@ CLASS_STEP = 8
 # Sequences whose room is summed up in one group.
 ROOM_BLOCK = 4096
 PACKED = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-# Pivots for each class after which the program is taken as it is; it can be used at any point.
-PIVOTS_A_CLASS = 4
+# Relative distance from the bound at which the program ends, and pivots for each class after
+# which it is taken as it is, with a warning; some twenty are needed.
+GAP = 1e-5
+MOST_PIVOTS = 200
+# What a pattern must be worth beyond a sequence to improve the program.
+TOLERANCE = 1e-7
+# Pivots after which the inverse is worked out anew.
+REFRESH = 200
 # Share of the waste-free duals in those that price.
 CALM = 0.9
 
@@ -41,15 +49,15 @@ _ARROW = pa.schema([(name, _TYPES[kind]) for name, kind in (f.split() for f in P
 
 
 def price(sizes, values, capacity):
-    """Most valuable filling of `capacity`, any number of each size: `(value, counts)`."""
+    """Most valuable filling of `capacity`, any number of each size, by the knapsack program: `(value, counts)`."""
     best = np.zeros(capacity + 1)
     chosen = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
     for room in range(1, capacity + 1):
         best[room] = best[room - 1]
-        fitting = int(np.searchsorted(sizes, room, side="right"))
-        if fitting:
-            worth = best[room - sizes[:fitting]] + values[:fitting]
-            top = int(worth.argmax())
+        if n := fitting[room]:
+            worth = best[room - sizes[:n]] + values[:n]
+            top = worth.argmax()
             if worth[top] > best[room] + 1e-12:
                 best[room], chosen[room] = worth[top], top
     counts, room = np.zeros(len(sizes), dtype=np.int64), capacity
@@ -62,26 +70,32 @@ def price(sizes, values, capacity):
     return best[capacity], counts
 
 
-def fractional_patterns(sizes, demand, capacity, pivots_a_class=PIVOTS_A_CLASS):
-    """Patterns and how often each is used, fractions allowed, so that demand is met exactly.
+def fractional_patterns(sizes, demand, capacity, gap=GAP, most_pivots=MOST_PIVOTS):
+    """Patterns, how often each is used, fractions allowed, so that demand is met exactly, and a bound below the optimum.
 
     Revised simplex with an explicit inverse; the first basis has one pattern a class.
     Early duals are wild, so new patterns are priced close to the duals of a program
     without waste, where a piece is worth its length; the true duals have the last word.
+    It ends within `gap` of the bound: the volume, or what the duals prove, since divided
+    by the worth of the best pattern they are feasible. A warning tells the gap if
+    `most_pivots` for each class come first.
     """
     even = sizes / capacity
     own = capacity // sizes
     patterns = np.diag(own)
     inverse = np.diag(1.0 / own)
-    used = demand / own
-    for _ in range(pivots_a_class * len(sizes)):
-        duals = inverse.sum(axis=0)
+    used, duals = demand / own, 1.0 / own
+    bound = float(demand @ even)
+    for pivot in range(1, most_pivots * len(sizes) + 1):
+        if used.sum() <= bound * (1 + gap):
+            break
         _, column = price(sizes, CALM * even + (1 - CALM) * duals, capacity)
-        if duals @ column <= 1 + 1e-7:
+        if duals @ column <= 1 + TOLERANCE:
             worth, column = price(sizes, duals, capacity)
-            if worth <= 1 + 1e-7:
+            bound = max(bound, used.sum() / max(worth, 1.0))
+            if worth <= 1 + TOLERANCE:
                 break
-        step = inverse @ column
+        step = np.einsum("ij,j->i", inverse, column)  # on one core: the product is too small for threads
         ratios = np.where(step > 1e-9, used / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratios.argmin())
         amount = ratios[out]
@@ -90,10 +104,16 @@ def fractional_patterns(sizes, demand, capacity, pivots_a_class=PIVOTS_A_CLASS):
         used = np.maximum(used - amount * step, 0)
         used[out] = amount
         row = inverse[out] / step[out]
+        duals = duals - (duals @ column - 1) * row
         inverse -= np.outer(step, row)
         inverse[out] = row
         patterns[:, out] = column
-    return patterns.T, used
+        if pivot % REFRESH == 0:  # rounding errors add up
+            inverse = np.linalg.inv(patterns)
+            used, duals = np.maximum(inverse @ demand, 0), inverse.sum(axis=0)
+    if used.sum() > bound * (1 + 10 * gap):
+        warnings.warn(f"packing stopped at {used.sum():.2f} sequences; the optimum is at least {bound:.2f}", stacklevel=2)
+    return patterns.T, used, bound
 
 
 def first_fit(sizes, counts, capacity):
@@ -117,7 +137,7 @@ def whole_patterns(sizes, demand, capacity):
     Fractions are rounded down, then up where pieces are left for it; what remains, a few
     pieces for each pattern of the basis, is placed by first fit.
     """
-    patterns, used = fractional_patterns(sizes, demand.astype(float), capacity)
+    patterns, used, _ = fractional_patterns(sizes, demand.astype(float), capacity)
     times = np.floor(used + 1e-9).astype(np.int64)
     left = demand - times @ patterns
     for j in np.argsort(-(used - times), kind="stable"):
@@ -158,8 +178,9 @@ def pieces(docs, tokenizer_json, length=SEQUENCE, end_id=END_ID, class_step=CLAS
     """Tokenised documents, written.
 
     A document that fits into a sequence is one row with its class; `place` is its number
-    in its task and class. A longer one is a row of class 0 with ids for every `length`
-    tokens; there `place` is the number of tokens of such rows before it in its task.
+    in its task and class. A longer one is a row of class 0 with ids for every whole
+    `length` tokens, where `place` is the number of tokens of such rows before it in its
+    task, and what is left of it a row with its class.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -177,7 +198,8 @@ def pieces(docs, tokenizer_json, length=SEQUENCE, end_id=END_ID, class_step=CLAS
                     for start in range(0, total, length):
                         piece = ids[start * 4 : (start + length) * 4]
                         size = len(piece) // 4
-                        kind = -(-size // class_step) if total <= length else 0
+                        # Only whole sequences out of long documents are poured; the rest of one is a piece.
+                        kind = -(-size // class_step) if total <= length or size < length else 0
                         crc = zlib.crc32(piece) if kind else None
                         rows.append((ids_of[at], start, size, crc, total, kind, part, met[kind], None if kind else piece))
                         met[kind] += 1 if kind else size
@@ -196,7 +218,7 @@ def _before(column, *order):
 
 
 def _place_whole(table, length, class_step):
-    """Documents in one piece: their rows with `sequence_id` and `offset`, and the number of sequences."""
+    """Documents and remainders in one piece: their rows with `sequence_id` and `offset`, and the number of sequences."""
     table = table.where("class > 0").drop("ids")
     counts = table.groupBy("part", "class").agg(F.count(F.lit(1)).alias("_n"))
     earlier_parts = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -230,7 +252,7 @@ def _room(placed, length):
 
 
 def _pour(table, rooms, sequences, length):
-    """Long documents, laid end to end, cut where the rooms end; beyond the rooms, every `length` tokens."""
+    """Whole sequences out of long documents, laid end to end, cut where the rooms end; beyond the rooms, every `length` tokens."""
     long = table.where("class = 0")
     parts = long.groupBy("part").agg(F.sum("length").alias("_n")).select("part", _before("_n", "part").alias("_base"))
     narrow = long.select("part", "place", "length").join(parts, "part")
@@ -273,10 +295,11 @@ def pack(docs, tokenizer_json, length=SEQUENCE, end_id=END_ID, class_step=CLASS_
     in `sequence_id` from `offset` on; sequences are gapless and numbered from 0.
     `ids_crc32` is the crc32 of the piece's ids as little-endian unsigned 32-bit numbers.
 
-    Documents that fit into a sequence stay whole and are placed by the program. Longer
-    ones must be cut in any case: laid end to end they fill the room that is left, and then
-    sequences of their own, of which only the last one is short. Where there are too few
-    of them, the rest of the room stays empty.
+    Documents that fit into a sequence stay whole and are placed by the program, as are the
+    remainders of longer ones modulo `length`. The rest of the longer ones, whole sequences,
+    is laid end to end: it fills the room that the program leaves, and then sequences of its
+    own, of which only the last one is short. Where there is too little of it, the rest of
+    the room stays empty: what rounding lengths up to `class_step` and patterns down costs.
 
     A null text counts as empty, so it is one piece with `end_id` alone. Repeated rows are
     packed each; a null id stays null; an empty table gives no rows; other columns are not
@@ -292,7 +315,10 @@ def pack(docs, tokenizer_json, length=SEQUENCE, end_id=END_ID, class_step=CLASS_
 
 
 def with_ids(packed, encoded, end_id=END_ID):
-    """`packed` rows with `ids`, the piece's ids in bytes; `encoded`: `(doc_id, ids)` of unique documents."""
+    """`packed` rows with `ids`, the piece's ids in bytes; `encoded`: `(doc_id, ids)` of unique documents.
+
+    Rows without an id match none and are left out; an empty table gives no rows.
+    """
     whole = encoded.select("doc_id", F.concat("ids", F.lit(np.array([end_id], dtype="<u4").tobytes())).alias("_ids"))
     piece = F.expr("substring(_ids, cast(start * 4 + 1 as int), cast(length * 4 as int))")
     return packed.join(whole, "doc_id").withColumn("ids", piece).drop("_ids")

@@ -234,10 +234,10 @@ def _crowded(members):
 def overlaps(left, right, weights=None):
     """How many hashes each of the sorted arrays `left` shares with each of `right`.
 
-    With the weights of both sides, the weight of each left one in common, and of each right one.
+    With the weights of both sides, also the weight of each left one in common, and of each right one.
     """
     common = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-    results = [np.zeros((len(left), len(right)), dtype=np.float32) for _ in (weights or [None])]
+    results = [np.zeros((len(left), len(right)), dtype=np.float32) for _ in (0, *(weights or []))]
 
     def marks(sets, part, values=None):
         table = np.zeros((len(sets), len(part)), dtype=np.float32)
@@ -250,11 +250,10 @@ def overlaps(left, right, weights=None):
     for start in range(0, len(common), 16_384):
         part = common[start : start + 16_384]
         m, n = marks(left, part), marks(right, part)
-        if weights is None:
-            results[0] += m @ n.T
-        else:
-            results[0] += marks(left, part, weights[0]) @ n.T
-            results[1] += m @ marks(right, part, weights[1]).T
+        results[0] += m @ n.T
+        if weights is not None:
+            results[1] += marks(left, part, weights[0]) @ n.T
+            results[2] += m @ marks(right, part, weights[1]).T
     return results[0] if weights is None else results
 
 
@@ -298,11 +297,14 @@ def links_in_buckets(members, sets, similarity, weight):
                 m, n = (np.array([len(h) for h in side], dtype=float) for side in sets)
                 near = shared / (m[:, None] + n[None, :] - shared) >= similarity - 1e-6
             else:
-                # The similarity is at most the share of either side's weight that is in common.
+                # In units of the larger weight w of a common shingle, all others come to at least
+                # (what is not common + the larger common weight) / w; and the larger weights
+                # come to both common weights less one for each common shingle, at most.
                 values = [[counts[i] for i in side] for side in sides]
-                own, other = overlaps(*sets, values)
+                shared, own, other = overlaps(*sets, values)
                 m, n = (np.array([v.sum() for v in side]) for side in values)
-                near = (own / m[:, None] >= similarity - 1e-5) & (other / n[None, :] >= similarity - 1e-5)
+                rest = m[:, None] + n[None, :] - np.minimum(own, other)
+                near = (own + other - shared) / rest >= similarity - 1e-5
             near &= labels[sides[0]][:, None] != labels[sides[1]][None, :]
             for i, j in zip(*np.nonzero(near)):
                 a, b = sorted((int(sides[0][i]), int(sides[1][j])), key=lambda k: nodes[k])
