@@ -36,7 +36,7 @@ MOST_PIVOTS = 200
 # What a pattern must be worth beyond a sequence to improve the program.
 TOLERANCE = 1e-7
 # Pivots after which the inverse is worked out anew.
-REFRESH = 200
+REFRESH = 1000
 # Share of the waste-free duals in those that price.
 CALM = 0.9
 
@@ -51,22 +51,20 @@ _ARROW = pa.schema([(name, _TYPES[kind]) for name, kind in (f.split() for f in P
 def price(sizes, values, capacity):
     """Most valuable filling of `capacity`, any number of each size, by the knapsack program: `(value, counts)`."""
     best = np.zeros(capacity + 1)
-    chosen = np.full(capacity + 1, -1)
-    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
+    chosen = np.zeros(capacity + 1, dtype=np.int64)  # size of the last piece; 0 for room that stays empty
+    worth_of = np.full(capacity + 1, -np.inf)
+    worth_of[sizes] = values
     for room in range(1, capacity + 1):
+        worth = worth_of[1 : room + 1] + best[room - 1 :: -1] if room > 1 else worth_of[1:2]
+        top = worth.argmax()
         best[room] = best[room - 1]
-        if n := fitting[room]:
-            worth = best[room - sizes[:n]] + values[:n]
-            top = worth.argmax()
-            if worth[top] > best[room] + 1e-12:
-                best[room], chosen[room] = worth[top], top
-    counts, room = np.zeros(len(sizes), dtype=np.int64), capacity
+        if worth[top] > best[room] + 1e-12:
+            best[room], chosen[room] = worth[top], top + 1
+    taken, room = np.zeros(capacity + 1, dtype=np.int64), capacity
     while room > 0:
-        if chosen[room] < 0:
-            room -= 1
-        else:
-            counts[chosen[room]] += 1
-            room -= sizes[chosen[room]]
+        taken[chosen[room]] += 1
+        room -= max(chosen[room], 1)
+    counts = taken[sizes]
     return best[capacity], counts
 
 

@@ -99,14 +99,20 @@ def exact_top_k(embeddings, k=10, every=100, factor=1024):
     vectors count as 0, so vectors of zeros or without components score 0. A query that
     is repeated is answered once, by its highest scores over the repeats; a repeated
     candidate id appears once, with its highest score. Other columns are not read.
+    Components so large that a score might not fit 64 bits are an error.
 
     Queries go out in rounds of bounded size, each against all candidates; between the
     rounds and tasks only `k` rows for each query are shuffled.
     """
     rows = quantized(usable(embeddings), factor)
     width = widest(rows)
-    asking = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    rounds = max(1, -(-asking.count() // QUERIES_A_ROUND))
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
+    asking = rows.where(is_query)
+    size = F.greatest(F.array_max("vector").cast("double"), -F.array_min("vector").cast("double"))
+    n, largest_query, largest = rows.agg(F.count_if(is_query), F.max(F.when(is_query, size)), F.max(size)).first()
+    if width * (largest_query or 0) * (largest or 0) >= 2.0**63:
+        raise ValueError("scores of these components do not fit 64 bits; lower the factor")
+    rounds = max(1, -(-n // QUERIES_A_ROUND))
     found = None
     for i in range(rounds):
         queries = asking if rounds == 1 else asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(rounds)) == i)

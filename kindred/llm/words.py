@@ -10,6 +10,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 # Texts are worked on in pieces of about this many bytes, so that memory does not grow
 # with the batch. A longer text is a piece of its own.
@@ -23,6 +24,7 @@ _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
 _WORD_BASE = np.uint64(0xD1B54A32D192ED03)
 _POWERS = {}
 _STATE = {}
+_SEEN = {}
 
 
 def _give_back():
@@ -40,13 +42,18 @@ def worker_state(owner=None, make=None):
 
     A worker serves many operators one after another; only the last of them keeps
     anything, so that their caches do not add up. Every step calls this first; without an
-    owner all is let go.
+    owner all is let go. Memory is given back once a task at most.
     """
-    if owner is None or _STATE.get("owner") != owner:
+    context = TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    changed = _STATE.get("owner") != owner
+    if changed:
         _STATE.clear()
+    if (changed or owner is None) and _SEEN.get("task") != task:
+        _SEEN["task"] = task
         _give_back()
-        if owner is not None:
-            _STATE.update(owner=owner, state=make())
+    if changed and owner is not None:
+        _STATE.update(owner=owner, state=make())
     return _STATE.get("state")
 
 
