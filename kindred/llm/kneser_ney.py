@@ -7,14 +7,12 @@ is the number of its context followed by the number of its word, and its table i
 into shards by context. A context that fills a shard alone is split by its followers.
 """
 
-import os
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.llm.learn import narrowed, remainder
-from kindred.llm.mapped import COUNT_TYPES, GATHERED, Gathering, edges_of, find, mapped_folder, packed, read_array, shard_bits, summed, unpacked, write_array
+from kindred.llm.mapped import COUNT_TYPES, GATHERED, Gathering, Maps, edges_of, find, mapped_folder, packed, shard_bits, summed, unpacked, write_shard
 from kindred.llm.words import Words, mix, text_pieces, worker_state
 from kindred.storage import scratch_path
 
@@ -44,12 +42,10 @@ class Vocabulary:
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         self.words = int(self.offsets[-1])
         self.start, self.unknown = self.words, self.words + 1  # numbers of what is no word
-        self.maps = {}
+        self.maps = Maps(folder)
 
     def shard(self, kind, i):
-        if (kind, i) not in self.maps:
-            self.maps[kind, i] = read_array(self.folder, f"{kind}-{i}")
-        return self.maps[kind, i]
+        return self.maps.arrays(f"words-{i}" if kind in ("words", "counts") else f"sums-{i}")[kind]
 
     def numbers(self, hashes):
         """Numbers of sorted distinct hashes."""
@@ -128,8 +124,7 @@ def count_words(texts, folder, bits):
         counts = np.concatenate([unpacked(c).astype(np.int64) for c in rows["counts"].to_pylist()])
         keys, counts = summed(keys, counts)
         shard = key[0].as_py()
-        write_array(folder, f"words-{shard}", keys)
-        write_array(folder, f"counts-{shard}", counts)
+        write_shard(folder, f"words-{shard}", {"words": keys, "counts": counts})
         hot = np.flatnonzero(counts * 4 > counts.sum())  # three words at most
         return pa.table(
             {"shard": [shard], "words": [len(keys)], "tokens": [int(counts.sum())]}
@@ -205,8 +200,8 @@ def count_pairs(texts, vocabulary, layout):
             counts.append(unpacked(n).astype(np.int64))
         keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
         shard = key[0].as_py()
-        write_array(folder, f"pairs-{shard}", keys)
-        write_array(folder, f"times-{shard}", counts.astype(next(k for k in COUNT_TYPES if counts.max() <= np.iinfo(k).max)))
+        times = counts.astype(next(k for k in COUNT_TYPES if counts.max() <= np.iinfo(k).max))
+        write_shard(folder, f"pairs-{shard}", {"pairs": keys, "times": times})
         contexts = (keys >> np.uint64(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
         sums = [np.add.reduceat(v, first) for v in (counts, counts == 1, counts == 2, counts > 2)]
@@ -248,8 +243,7 @@ def store_stats(stats, vocabulary):
             targets = names[:4] if row["kind"] == "context" else names[4:]
             for name, column in zip(targets, ("v0", "v1", "v2", "v3")):
                 sums[name][numbers] += unpacked(row[column]).astype(np.int64)  # numbers are distinct within a row
-        for name in names:
-            write_array(folder, f"{name}-{shard}", sums[name][:size])
+        write_shard(folder, f"sums-{shard}", {name: values[:size] for name, values in sums.items()})
         before = sums["before"][:size]
         seen = np.bincount(np.minimum(before, 5), minlength=6)[1:5]
         start = [int(sums[name][size]) for name in names[:4]]
@@ -286,7 +280,6 @@ class Model:
         self.followed, self.start = followed, start
         kinds = np.array([words[0], words[1], max(vocabulary.words - words[0] - words[1], 0)])
         self.spread = float((kinds * self.word_discounts[1:]).sum())
-        self.maps = {}
 
     def pair_counts(self, contexts, words):
         """Counts of distinct bigrams, given in the order of context and word."""
@@ -299,14 +292,10 @@ class Model:
         order = known[np.argsort(shards[known], kind="stable")]
         edges = np.searchsorted(shards[order], np.arange(self.layout.shards + 1))
         for i in np.flatnonzero(np.diff(edges)):
-            if i not in self.maps:
-                name = os.path.join(self.vocabulary.folder, f"pairs-{i}.npy")
-                found = os.path.exists(name)  # a shard may be empty
-                self.maps[i] = (read_array(self.vocabulary.folder, f"pairs-{i}"), read_array(self.vocabulary.folder, f"times-{i}")) if found else None
-            if self.maps[i] is None:
+            if (shard := self.vocabulary.maps.arrays(f"pairs-{i}")) is None:
                 continue
-            part, (table, times) = order[edges[i] : edges[i + 1]], self.maps[i]
-            at = find(table, keys[part])
+            part, times = order[edges[i] : edges[i + 1]], shard["times"]
+            at = find(shard["pairs"], keys[part])
             result[part] = np.where(at >= 0, times[at], 0)
         return result
 
@@ -354,7 +343,6 @@ def train(texts, folder, shard_chars=SHARD_CHARS):
     parts[vocabulary.start] = max(1, int(np.ceil(rows / mean)))
     layout = Layout(vocabulary, parts)
     stats = count_pairs(texts, vocabulary, layout)
-    vocabulary.maps = {}
     return Model(vocabulary, layout, tokens, *store_stats(stats, vocabulary))
 
 

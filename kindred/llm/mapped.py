@@ -2,18 +2,29 @@
 
 A table is split into shards by the highest bits of its keys, which are hashes. Tasks sum
 up what they gather and send sorted stretches to the shards; a shard is one sorted array
-of keys with arrays of values beside it. Lookups take sorted batches of keys, so that each
+of keys with arrays of values beside it in one file. Lookups take sorted batches of keys, so that each
 page of a shard is touched once a batch.
 """
 
+import json
+import mmap
 import os
+import resource
+import sys
 import uuid
+from collections import OrderedDict
 from urllib.parse import urlparse
 
 import numpy as np
 
 # Entries a task gathers before it sends them on.
 GATHERED = 6_000_000
+# Arrays in a shard file begin at multiples of this many bytes.
+ALIGNED = 64
+# Where Python can, a mapping holds no open file.
+_WITHOUT_FILE = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+# Shard files a table keeps mapped in one process; the system allows some 65,000 mappings.
+MAPPED = 16_384 if _WITHOUT_FILE else max(resource.getrlimit(resource.RLIMIT_NOFILE)[0] // 8, 8)
 COUNT_TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
 
 
@@ -25,17 +36,53 @@ def mapped_folder(uri):
     return parts.path
 
 
-def write_array(folder, name, values):
-    """Store an array; a task that is tried again replaces the file in one step."""
+def write_shard(folder, name, arrays):
+    """Store the arrays of one shard, given by name, as one file; a task that is tried again replaces it in one step."""
     os.makedirs(folder, exist_ok=True)
     own = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
+    header = json.dumps([[n, v.dtype.str, len(v)] for n, v in arrays.items()]).encode()
     with open(own, "wb") as out:
-        np.save(out, values)
-    os.replace(own, os.path.join(folder, f"{name}.npy"))
-
-
-def read_array(folder, name):
-    return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r")
+        out.write(len(header).to_bytes(8, "little") + header)
+        for values in arrays.values():
+            out.write(bytes(-out.tell() % ALIGNED))
+            out.write(np.ascontiguousarray(values).data)
+        out.write(bytes(ALIGNED))
+    os.replace(own, os.path.join(folder, f"{name}.shard"))
+
+
+class Maps:
+    """Shard files of a folder, mapped when asked for; of more than MAPPED the one used longest ago is let go."""
+
+    def __init__(self, folder):
+        self.folder, self.held = folder, OrderedDict()
+
+    def __reduce__(self):
+        return Maps, (self.folder,)
+
+    def arrays(self, name):
+        """The arrays of a shard by name, or None if there is no such file: the shard is empty."""
+        if name in self.held:
+            self.held.move_to_end(name)
+            return self.held[name]
+        try:
+            with open(os.path.join(self.folder, f"{name}.shard"), "rb") as file:
+                data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **_WITHOUT_FILE)
+        except FileNotFoundError:
+            data = None
+        self.held[name] = None if data is None else _split(data)
+        while len(self.held) > MAPPED:
+            self.held.popitem(last=False)  # unmapped with its last array
+        return self.held[name]
+
+
+def _split(data):
+    at = 8 + int.from_bytes(data[:8], "little")
+    result = {}
+    for name, kind, n in json.loads(data[8:at]):
+        at += -at % ALIGNED
+        result[name] = np.ndarray(n, dtype=kind, buffer=data, offset=at)
+        at += result[name].nbytes
+    return result
 
 
 def packed(values):
@@ -102,15 +149,9 @@ class Shards:
     """A table of keys and values, looked up by keys in any order."""
 
     def __init__(self, folder, bits, kinds):
-        """kinds: names of the arrays, the keys first; shards without a file are empty."""
+        """kinds: names of the arrays, the keys first, which also name the files; shards without a file are empty."""
         self.folder, self.bits, self.kinds = folder, bits, kinds
-        self.maps = {}
-
-    def _shard(self, i):
-        if i not in self.maps:
-            there = os.path.exists(os.path.join(self.folder, f"{self.kinds[0]}-{i}.npy"))
-            self.maps[i] = [read_array(self.folder, f"{kind}-{i}") for kind in self.kinds] if there else None
-        return self.maps[i]
+        self.maps = Maps(folder)
 
     def look_up(self, keys):
         """`(found, values)`: which keys there are, and their values, one array a kind beyond the first."""
@@ -119,8 +160,9 @@ class Shards:
         values = [np.zeros(len(distinct), dtype=np.int64) for _ in self.kinds[1:]]
         edges = edges_of(distinct, self.bits)
         for i in np.flatnonzero(np.diff(edges)):
-            if (shard := self._shard(i)) is None:
+            if (arrays := self.maps.arrays(f"{self.kinds[0]}-{i}")) is None:
                 continue
+            shard = [arrays[kind] for kind in self.kinds]
             at = find(shard[0], distinct[edges[i] : edges[i + 1]])
             hit = np.flatnonzero(at >= 0)
             found[edges[i] + hit] = True

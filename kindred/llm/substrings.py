@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.automaton import SuffixAutomaton
 from kindred.llm.learn import mapped, narrowed
-from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, find, mapped_folder, packed, shard_bits, summed, unpacked, write_array
+from kindred.llm.mapped import GATHERED, Gathering, Shards, edges_of, find, mapped_folder, packed, shard_bits, summed, unpacked, write_shard
 from kindred.llm.words import Words, gram_hashes, mix, sliding_argmin, text_pieces, within_rows, worker_state
 from kindred.storage import scratch_path
 
@@ -97,7 +97,7 @@ def find_anchors(docs, folder, bits, window, anchor):
         keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()])
         counts = np.concatenate([unpacked(c).astype(np.int64) for c in rows["counts"].to_pylist()])
         keys, counts = summed(keys, counts)
-        write_array(folder, f"anchors-{key[0].as_py()}", keys[counts > 1])
+        write_shard(folder, f"anchors-{key[0].as_py()}", {"anchors": keys[counts > 1]})
         return pa.table({"n": [int((counts > 1).sum())]})
 
     rows = docs.mapInArrow(gather, "shard int, keys binary, counts binary")
@@ -160,8 +160,8 @@ def find_places(docs, anchors, window, anchor, crowded):
         keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()])
         columns = [np.concatenate([unpacked(c).astype(np.int64) for c in rows[name].to_pylist()]) for name in ("docs", "starts", "counts")]
         keys, docs, starts, counts = earliest(keys, *columns)
-        for name, values in (("windows", keys), ("docs", docs), ("starts", starts)):
-            write_array(folder, f"{name}-{key[0].as_py()}", values[counts > 1])
+        repeated = {n: v[counts > 1] for n, v in (("windows", keys), ("docs", docs), ("starts", starts))}
+        write_shard(folder, f"windows-{key[0].as_py()}", repeated)
         often = (counts > few) & (find(crowded, docs) < 0)
         cells, counts = summed(cells_of(keys[often], docs[often], starts[often], crowded, span), counts[often])
         return pa.table({"cell": cells.view(np.int64), "n": counts})
@@ -250,7 +250,7 @@ def unmatched(rows, folder, bits, window):
     def store(key, rows):
         worker_state()
         keys = np.unique(np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in rows["keys"].to_pylist()]))
-        write_array(folder, f"unmatched-{key[0].as_py()}", keys)
+        write_shard(folder, f"unmatched-{key[0].as_py()}", {"unmatched": keys})
         return pa.table({"n": [len(keys)]})
 
     wrong = rows.groupBy("shard").applyInArrow(match, "shard int, keys binary")
